@@ -1,11 +1,700 @@
-"""All queries of the engine and their SQL."""
+"""All queries of the engine, each with the same in SQL where SQL can say it."""
 
-from __future__ import annotations
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-def queries() -> dict:
-    return {}
+from tidefeed.functions import codec
+from tidefeed.functions import columns as fn
+from tidefeed.operators import catalog_tables, feed, ranges
+from tidefeed.operators import receivers as chain
+from tidefeed.sources.journal import JOURNAL_SQL, RECEIVERS_SQL, journal, receivers, table
+from tidefeed.streaming import changes
 
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
 
-def oracle_sql() -> dict:
-    return {}
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query; in ``sql``, J and R are the journal and its segments."""
+
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            views = ([JOURNAL_SQL] if " J" in sql or " R" in sql else []) + ([RECEIVERS_SQL] if " R" in sql else [])
+            _SQL[f.__name__] = f"WITH RECURSIVE {', '.join([*views, 'nothing AS (SELECT 1)'])} {sql}"
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+INCLUDED = [1, 2, 3, 5, 7]
+FILES_SQL = ", ".join(map(str, INCLUDED))
+
+
+def _rows(spark: SparkSession, ddl: str, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, ddl)
+
+
+def _values(rows: list[tuple]) -> str:
+    lit = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+    return "VALUES " + ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows)
+
+
+# --- scans and criteria ---------------------------------------------------
+
+
+@query("SELECT seq, rcv, code, value FROM J WHERE seq BETWEEN 100 AND 900")
+def journal_scan(spark, d):
+    """An inclusive stretch of the journal; the bounds reach the scan as a filter on event_id."""
+    return journal(spark, d).where(F.col("seq").between(100, 900)).select("seq", "rcv", "code", "value")
+
+
+@query("SELECT seq, rcv, code FROM J WHERE NOT (seq = 100 AND rcv = 0) AND seq >= 100")
+def skip_processed(spark, d):
+    """Resuming at a processed position: its entry isn't seen again."""
+    return journal(spark, d).where("seq >= 100 AND NOT (seq = 100 AND rcv = 0)").select("seq", "rcv", "code")
+
+
+_CODES = [("CPF7053",), ("CPF9801",), ("CPF7054",), ("CPF7060",), ("CPF7062",), ("CPF0000",)]
+
+
+@query(f"""SELECT code, CASE WHEN code IN ('CPF7053', 'CPF9801', 'CPF7054') THEN 'InvalidPosition' WHEN code = 'CPF7060' THEN 'InvalidFilter'
+  WHEN code = 'CPF7062' THEN 'none' ELSE 'ReadFailure' END AS error FROM ({_values(_CODES)}) t(code)""")
+def error_classify(spark, d):
+    from tidefeed.sources.reader import FAILURES, ReadFailure
+
+    named = F.create_map(*[F.lit(x) for k, v in FAILURES.items() for x in (k, v.__name__ if v else "none")])
+    return _rows(spark, "code string", _CODES).select("code", F.coalesce(named[F.col("code")], F.lit(ReadFailure.__name__)).alias("error"))
+
+
+@query("SELECT rcv, last_seq AS seq FROM R WHERE status = 1")
+def current_position(spark, d):
+    return receivers(spark, d).where("status = 1").select("rcv", F.col("last_seq").alias("seq"))
+
+
+@query("SELECT rcv, status, attached, next_rcv FROM R")
+def receiver_list(spark, d):
+    return receivers(spark, d).select("rcv", "status", "attached", "next_rcv")
+
+
+@query("SELECT rcv, first_seq, last_seq, first_rseq, last_rseq, entries FROM R")
+def receiver_details(spark, d):
+    return receivers(spark, d).select("rcv", "first_seq", "last_seq", "first_rseq", "last_rseq", "entries")
+
+
+_JOURNALS = [("APP", "ORDERS", "QSQJRN", "APP"), ("APP", "ITEMS", "QSQJRN", "APP"), ("APP", "AUDIT", "AUDJRN", "SYS"), ("OTHER", "X", "XJRN", "OTHER")]
+
+
+@query(f"""SELECT min(jrn) AS jrn, min(lib) AS lib, count(DISTINCT jrn || '/' || lib) AS journals FROM ({_values(_JOURNALS)}) t(sch, tab, jrn, lib) WHERE sch = 'APP' AND tab IN ('ORDERS', 'ITEMS')""")
+def journal_discovery(spark, d):
+    """The journal of the included tables; a count other than one is an error to the caller."""
+    known = _rows(spark, "sch string, tab string, jrn string, lib string", _JOURNALS).where("sch = 'APP' AND tab IN ('ORDERS', 'ITEMS')")
+    return known.agg(F.min("jrn").alias("jrn"), F.min("lib").alias("lib"), F.countDistinct(F.concat_ws("/", "jrn", "lib")).alias("journals"))
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'READ' AS op FROM customer")
+def snapshot_scan(spark, d):
+    return table(spark, d, "customer").withColumn("op", F.lit("READ"))
+
+
+@query("SELECT c_custkey, c_name, 'READ' AS op FROM customer WHERE c_acctbal > 0")
+def snapshot_override(spark, d):
+    """A table's snapshot by a statement of its own."""
+    return spark.sql("SELECT c_custkey, c_name, 'READ' AS op FROM {customer} WHERE c_acctbal > 0", customer=table(spark, d, "customer"))
+
+
+@query()
+def catalog_tables_list(spark, d):
+    """Tables that the session's catalogue has in a schema."""
+    table(spark, d, "region").createOrReplaceTempView("tidefeed_region")
+    return _rows(spark, "name string", [(t.name,) for t in spark.catalog.listTables() if t.name == "tidefeed_region"])
+
+
+@query("SELECT seq, code FROM J WHERE rcv BETWEEN 2 AND 4")
+def criteria_receiver(spark, d):
+    return journal(spark, d).where("rcv BETWEEN 2 AND 4").select("seq", "code")
+
+
+@query("SELECT seq, code FROM J WHERE seq BETWEEN 1500 AND (SELECT max(seq) FROM J)")
+def criteria_range(spark, d):
+    """From an entry to *LAST."""
+    return journal(spark, d).where("seq >= 1500").select("seq", "code")
+
+
+@query("SELECT seq, code FROM J ORDER BY seq LIMIT 250")
+def criteria_limit(spark, d):
+    return journal(spark, d).orderBy("seq").limit(250).select("seq", "code")
+
+
+@query("SELECT seq, code FROM J WHERE left(code, 1) IN ('C', 'D')")
+def criteria_codes(spark, d):
+    return journal(spark, d).where(F.left("code", F.lit(1)).isin("C", "D")).select("seq", "code")
+
+
+@query("SELECT seq, code FROM J WHERE split_part(code, '.', 2) IN ('PT', 'DL', 'UP')")
+def criteria_types(spark, d):
+    return journal(spark, d).where(F.split_part("code", F.lit("."), F.lit(2)).isin("PT", "DL", "UP")).select("seq", "code")
+
+
+@query(f"SELECT seq, file_no FROM J WHERE file_no IN ({FILES_SQL})")
+def criteria_files(spark, d):
+    return journal(spark, d).where(F.col("file_no").isin(INCLUDED)).select("seq", "file_no")
+
+
+@query("SELECT seq, ts, cycle FROM J WHERE ts >= (SELECT min(ts) FROM J) + INTERVAL 1 DAY AND user_id < 50")
+def criteria_time(spark, d):
+    j = journal(spark, d)
+    start = j.agg(F.min("ts").alias("t0"))
+    return j.join(F.broadcast(start), F.col("ts") >= F.col("t0") + F.expr("INTERVAL 1 DAY")).where("user_id < 50").select("seq", "ts", "cycle")
+
+
+# --- ranges and segments --------------------------------------------------
+
+_STARTS = [(1, 0, 1), (2, 0, 700), (3, 2, 2500), (4, 5, 5001)]
+_FIND = f"""SELECT start_id, end_rcv, end_seq FROM (
+  SELECT s.start_id, R.rcv AS end_rcv, least(R.last_seq, s.seq + {{most}}) AS end_seq, row_number() OVER (PARTITION BY s.start_id ORDER BY R.rcv DESC) AS k
+  FROM ({_values(_STARTS)}) s(start_id, rcv, seq) JOIN R ON R.rcv >= s.rcv AND R.first_seq <= s.seq + {{most}} WHERE s.rcv IN (SELECT rcv FROM R)) WHERE k = 1"""
+
+
+def _starts(spark, d):
+    return _rows(spark, "start_id int, rcv long, seq long", _STARTS).join(receivers(spark, d).select("rcv"), "rcv", "left_semi")
+
+
+@query(_FIND.format(most=1700))
+def find_range(spark, d):
+    return ranges.find_ranges(_starts(spark, d), receivers(spark, d), 1700)
+
+
+@query(_FIND.format(most=300))
+def find_position(spark, d):
+    return ranges.find_ranges(_starts(spark, d), receivers(spark, d), 300)
+
+
+@query("SELECT rcv, least(last_seq, first_seq + 400) AS end_seq FROM R")
+def paginate_same(spark, d):
+    return receivers(spark, d).select("rcv", F.least("last_seq", F.col("first_seq") + 400).alias("end_seq"))
+
+
+@query("SELECT (seq - 1) // 700 AS page, max(rcv) AS end_rcv, max(seq) AS end_seq FROM J GROUP BY 1")
+def range_pages(spark, d):
+    return ranges.pages(receivers(spark, d), 700)
+
+
+@query("SELECT rcv, CASE WHEN rcv = (SELECT max(rcv) FROM R) THEN last_seq + 100 ELSE last_seq END AS last_seq FROM R")
+def refresh_end(spark, d):
+    """Newer metadata of the last segment replaces what the list says."""
+    r = receivers(spark, d).select("rcv", "last_seq")
+    newest = r.agg(F.max("rcv").alias("rcv"), (F.max("last_seq") + 100).alias("newer"))
+    return r.join(F.broadcast(newest), "rcv", "full").select("rcv", F.coalesce("newer", "last_seq").alias("last_seq"))
+
+
+@query("SELECT rcv, status FROM R WHERE rcv > (SELECT coalesce(max(rcv), -1) FROM R WHERE status NOT IN (1, 2, 3))")
+def last_joined(spark, d):
+    return chain.last_joined(receivers(spark, d)).select("rcv", "status")
+
+
+@query(""", links(rcv, chain) AS (
+  SELECT rcv, rcv FROM R a WHERE status != 5 AND NOT EXISTS (SELECT 1 FROM R b WHERE b.next_rcv = a.rcv AND b.status != 5)
+  UNION ALL SELECT c.next_rcv, links.chain FROM links JOIN (SELECT * FROM R) c ON c.rcv = links.rcv JOIN (SELECT * FROM R) n ON n.rcv = c.next_rcv WHERE n.status != 5
+) SELECT rcv, chain FROM links""")
+def receiver_chain(spark, d):
+    return chain.chain_numbers(receivers(spark, d))
+
+
+@query("SELECT a.rcv, b.rcv AS next_rcv, b.first_seq AS next_first FROM R a LEFT JOIN (SELECT * FROM R) b ON a.next_rcv = b.rcv")
+def receiver_next(spark, d):
+    r = receivers(spark, d)
+    other = r.select(F.col("rcv").alias("n"), F.col("first_seq").alias("next_first"))
+    return r.join(other, F.col("next_rcv") == F.col("n"), "left").select("rcv", F.col("n").alias("next_rcv"), "next_first")
+
+
+@query("SELECT rcv, coalesce(first_rseq < lag(last_rseq) OVER (ORDER BY rcv), false) AS restart FROM R")
+def reset_detect(spark, d):
+    return chain.restarts(receivers(spark, d))
+
+
+@query("SELECT rcv FROM R WHERE rcv % 2 = 0 AND rcv NOT IN (SELECT rcv FROM R WHERE status = 5)")
+def cache_prune(spark, d):
+    """Cached segments that the newest list still has."""
+    r = receivers(spark, d)
+    return r.where("rcv % 2 = 0").select("rcv").join(r.where("status = 5").select("rcv"), "rcv", "left_anti")
+
+
+@query("SELECT rcv, attached, status FROM R WHERE status != 5 ORDER BY attached DESC")
+def receiver_browse(spark, d):
+    return receivers(spark, d).where("status != 5").select("rcv", "attached", "status").orderBy(F.desc("attached"))
+
+
+@query("SELECT ts, code, user_id, seq FROM J ORDER BY ts DESC")
+def journal_browse(spark, d):
+    return journal(spark, d).select("ts", "code", "user_id", "seq").orderBy(F.desc("ts"))
+
+
+@query()
+def offset_roundtrip(spark, d):
+    """A position as the map that a checkpoint stores, and back."""
+    at = receivers(spark, d).where("status = 1").select(
+        F.to_json(F.struct(F.col("last_seq").cast("string").alias("event_sequence"), F.unix_timestamp(F.col("attached").cast("timestamp")).cast("string").alias("time"), F.col("rcv").cast("string").alias("receiver"), F.lit("true").alias("processed"))).alias("stored")
+    )
+    back = F.from_json("stored", "map<string,string>")
+    return at.select("stored", back["event_sequence"].cast("decimal(20,0)").alias("seq"), (back["processed"] == "true").alias("processed"))
+
+
+# --- the feed -------------------------------------------------------------
+
+_KIND_SQL = "CASE code " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in feed.KINDS.items()) + " END"
+
+
+@query(f"SELECT seq, code, {_KIND_SQL} AS kind FROM J")
+def classify_entries(spark, d):
+    return journal(spark, d).select("seq", "code", feed.kind(F.col("code")).alias("kind"))
+
+
+@query("SELECT seq, code FROM J WHERE code NOT IN ('F.OP', 'F.CL')")
+def filter_ignored(spark, d):
+    return feed.without_ignored(journal(spark, d)).select("seq", "code")
+
+
+@query(f"SELECT seq, code, file_no FROM J WHERE file_no IN ({FILES_SQL}) OR code LIKE 'C.%'")
+def filter_tables(spark, d):
+    return feed.of_tables(journal(spark, d), INCLUDED).select("seq", "code", "file_no")
+
+
+_PAIRED_SQL = "SELECT seq, file_no, CASE WHEN lc = 'R.UB' THEN lv END AS before, value AS after FROM (SELECT *, lag(code) OVER w AS lc, lag(value) OVER w AS lv FROM J WHERE code IN ('R.UB', 'R.UP') WINDOW w AS (PARTITION BY file_no ORDER BY seq)) WHERE code = 'R.UP'"
+
+
+@query(_PAIRED_SQL)
+def pair_before_after(spark, d):
+    return feed.with_before(journal(spark, d)).select("seq", "file_no", "before", F.col("value").alias("after"))
+
+
+_TX_SQL = "SELECT *, CASE WHEN last_value(CASE WHEN code IN ('C.SC', 'C.CM') THEN code END IGNORE NULLS) OVER (PARTITION BY cycle ORDER BY seq) = 'C.SC' THEN CAST(cycle AS VARCHAR) END AS tx FROM J"
+
+
+@query(f"SELECT seq, code, tx FROM ({_TX_SQL}) WHERE code IN ('R.PT', 'R.UP', 'R.DL')")
+def attach_tx(spark, d):
+    return feed.with_transaction(journal(spark, d)).where("code IN ('R.PT', 'R.UP', 'R.DL')").select("seq", "code", "tx")
+
+
+@query(f"""SELECT t.seq, rcv, ts, t.file_no, CASE code WHEN 'R.PT' THEN 'CREATE' WHEN 'R.UP' THEN 'UPDATE' ELSE 'DELETE' END AS op,
+  CASE code WHEN 'R.UP' THEN p.before WHEN 'R.DL' THEN value END AS before, CASE WHEN code != 'R.DL' THEN value END AS after, tx
+  FROM ({_TX_SQL}) t LEFT JOIN ({_PAIRED_SQL}) p ON p.seq = t.seq WHERE code IN ('R.PT', 'R.UP', 'R.DL') AND t.file_no IN ({FILES_SQL})""")
+def change_events(spark, d):
+    return feed.change_events(journal(spark, d), INCLUDED)
+
+
+@query(f"SELECT tx, file_no, count(*) AS n FROM ({_TX_SQL}) WHERE tx IS NOT NULL AND code IN ('R.PT', 'R.DL') GROUP BY ALL")
+def tx_event_counts(spark, d):
+    """Inserts and deletes by transaction and table; updates don't count."""
+    return feed.with_transaction(journal(spark, d)).where("tx IS NOT NULL AND code IN ('R.PT', 'R.DL')").groupBy("tx", "file_no").agg(F.count("*").alias("n"))
+
+
+@query("SELECT cycle, min(CASE WHEN code = 'C.SC' THEN seq END) AS began, max(CASE WHEN code = 'C.CM' THEN seq END) AS ended, count(*) AS entries FROM J GROUP BY cycle HAVING count_if(code IN ('C.SC', 'C.CM')) > 0")
+def tx_summary(spark, d):
+    seq, code = F.col("seq"), F.col("code")
+    sums = journal(spark, d).groupBy("cycle").agg(F.min(F.when(code == "C.SC", seq)).alias("began"), F.max(F.when(code == "C.CM", seq)).alias("ended"), F.count("*").alias("entries"))
+    return sums.where("began IS NOT NULL OR ended IS NOT NULL")
+
+
+@query("SELECT seq, file_no, sum(CASE WHEN code IN ('D.CG', 'D.CT') THEN 1 ELSE 0 END) OVER (PARTITION BY file_no ORDER BY seq)::BIGINT AS version FROM J")
+def schema_versions(spark, d):
+    return feed.schema_versions(journal(spark, d)).select("seq", "file_no", "version")
+
+
+@query("SELECT seq, code, file_no FROM J WHERE seq > 500")
+def dedupe_resume(spark, d):
+    """Two overlapping deliveries, each entry once."""
+    j = journal(spark, d)
+    return j.where("seq > 500 AND seq <= 2500").union(j.where("seq > 2000")).dropDuplicates(["seq"]).select("seq", "code", "file_no")
+
+
+@query("SELECT seq, CASE WHEN value < 1 THEN 'too small' END AS error FROM J WHERE code = 'R.PT' AND value < 1")
+def dead_letter(spark, d):
+    """Entries that can't be decoded go aside with their reason; none is lost."""
+    return journal(spark, d).where("code = 'R.PT'").withColumn("error", F.when(F.col("value") < 1, "too small")).where("error IS NOT NULL").select("seq", "error")
+
+
+_CUT = "(SELECT max(seq) // 2 FROM J)"
+
+
+@query(f"SELECT c_custkey AS key, 'READ' AS op, {_CUT} AS seq FROM customer UNION ALL SELECT user_id, 'CHANGE', seq FROM J WHERE code IN ('R.PT', 'R.UP', 'R.DL') AND seq > {_CUT}")
+def snapshot_stream_merge(spark, d):
+    """A snapshot at a cut, then the changes behind it."""
+    j = journal(spark, d)
+    cut = F.broadcast(j.agg(F.expr("max(seq) div 2").alias("cut")))
+    snap = table(spark, d, "customer").join(cut).select(F.col("c_custkey").alias("key"), F.lit("READ").alias("op"), F.col("cut").alias("seq"))
+    later = j.where("code IN ('R.PT', 'R.UP', 'R.DL')").join(cut, F.col("seq") > F.col("cut")).select(F.col("user_id").alias("key"), F.lit("CHANGE").alias("op"), "seq")
+    return snap.unionByName(later)
+
+
+@query(f"SELECT file_no, arg_max(after, seq) AS value FROM (SELECT seq, file_no, code, value AS after FROM J WHERE code IN ('R.PT', 'R.UP', 'R.DL')) GROUP BY file_no HAVING arg_max(code, seq) != 'R.DL'")
+def latest_state(spark, d):
+    return feed.latest_state(feed.change_events(journal(spark, d)))
+
+
+@query("SELECT (SELECT max(seq) FROM J) - 750 AS behind, 750 AS position")
+def lag_metrics(spark, d):
+    return receivers(spark, d).agg((F.sum("entries") - 750).alias("behind"), F.lit(750).alias("position"))
+
+
+@query("SELECT rcv, sum(length(code) + 219)::BIGINT AS bytes, sum(sum(length(code) + 219)) OVER (ORDER BY rcv)::BIGINT AS total FROM J GROUP BY rcv")
+def bytes_transferred(spark, d):
+    by = journal(spark, d).groupBy("rcv").agg(F.sum(F.length("code") + codec.ENTRY_SIZE).alias("bytes"))
+    return by.withColumn("total", F.sum("bytes").over(Window.orderBy("rcv")))
+
+
+# --- names, columns, catalogue --------------------------------------------
+
+_NAMES = [("F1", "CUSTOMER_ACCOUNTS"), ("F2", "ORDER_LINES"), ("F5", "PRICE_HISTORY")]
+_COLUMNS = [("LIB", "F1", "ID", 1, 37, 10, 10), ("LIB", "F1", "NAME", 2, 285, 40, 20), ("LIB", "F2", "ID", 1, None, 8, 0), ("LIB", "F5", "TEXT", 3, 13488, 20, 10)]
+_COLUMNS_DDL = "schema string, `table` string, `column` string, place int, ccsid int, octets int, length int"
+_COLUMNS_SQL = f"({_values(_COLUMNS)}) c(\"schema\", \"table\", \"column\", place, ccsid, octets, length)"
+_KEYS = [("LIB", "F1", "ID"), ("LIB", "F2", "ID"), ("LIB", "F9", "ID")]
+
+
+@query("SELECT seq, rtrim('F' || file_no) AS file, 'LIB' AS library, 'M' || (seq % 3) AS member FROM J")
+def split_object(spark, d):
+    """File, library and member out of the 30 characters of an object name."""
+    name = F.concat(F.rpad(F.concat(F.lit("F"), F.col("file_no").cast("string")), 10, " "), F.rpad(F.lit("LIB"), 10, " "), F.rpad(F.concat(F.lit("M"), (F.col("seq") % 3).cast("string")), 10, " "))
+    o = journal(spark, d).select("seq", name.alias("o"))
+    return o.select("seq", *(F.rtrim(F.substring("o", at, 10)).alias(n) for n, at in (("file", 1), ("library", 11), ("member", 21))))
+
+
+@query(f"SELECT file_no, coalesce(n.long_name, 'F' || file_no) AS long_name, count(*) AS n FROM J LEFT JOIN ({_values(_NAMES)}) n(system_name, long_name) ON n.system_name = 'F' || file_no GROUP BY ALL")
+def resolve_names(spark, d):
+    j = journal(spark, d).withColumn("system_name", F.concat(F.lit("F"), F.col("file_no").cast("string")))
+    return catalog_tables.long_names(j, _rows(spark, "system_name string, long_name string", _NAMES)).groupBy("file_no", "long_name").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT seq, c.\"column\", place FROM J LEFT JOIN {_COLUMNS_SQL} ON c.\"table\" = 'F' || file_no WHERE code = 'R.PT'")
+def attach_schema(spark, d):
+    cols = _rows(spark, _COLUMNS_DDL, _COLUMNS).select("table", "column", "place")
+    j = journal(spark, d).where("code = 'R.PT'").withColumn("table", F.concat(F.lit("F"), F.col("file_no").cast("string")))
+    return j.join(F.broadcast(cols), "table", "left").select("seq", "column", "place")
+
+
+@query(f"SELECT c.\"table\", c.\"column\", place FROM {_COLUMNS_SQL} JOIN ({_values(_KEYS)}) k(s, t, col) ON k.s = c.\"schema\" AND k.t = c.\"table\" AND k.col = c.\"column\"")
+def key_columns(spark, d):
+    keys = _rows(spark, "schema string, `table` string, `column` string", _KEYS)
+    return _rows(spark, _COLUMNS_DDL, _COLUMNS).join(keys, ["schema", "table", "column"]).select("table", "column", "place").orderBy("table", "place")
+
+
+@query(f"SELECT c.\"table\", c.\"column\", CASE coalesce(ccsid, -1) WHEN 37 THEN 1146 ELSE coalesce(ccsid, -1) END AS ccsid FROM {_COLUMNS_SQL}")
+def ccsid_lookup(spark, d):
+    known = _rows(spark, _COLUMNS_DDL, _COLUMNS)
+    given = known.select("schema", F.col("table").alias("system_name"), F.col("table").alias("long_name"), "column", "ccsid")
+    return catalog_tables.code_pages(known.select("schema", "table", "column"), given, 37, 1146).select("table", "column", "ccsid")
+
+
+@query(f"SELECT c.\"table\", c.\"column\", greatest(1, coalesce(octets // nullif(length, 0), 1)) AS bytes_per_char FROM {_COLUMNS_SQL}")
+def bytes_per_char(spark, d):
+    return catalog_tables.bytes_per_char(_rows(spark, _COLUMNS_DDL, _COLUMNS)).select("table", "column", "bytes_per_char")
+
+
+@query(f"SELECT \"table\", \"column\" FROM {_COLUMNS_SQL} WHERE \"column\" NOT LIKE 'N%'")
+def project_columns(spark, d):
+    return _rows(spark, _COLUMNS_DDL, _COLUMNS).where("NOT startswith(`column`, 'N')").select("table", "column")
+
+
+_INCLUDES = [("db.app.orders, app.items,parts",), ("app.audit",)]
+
+
+@query("SELECT * FROM (VALUES ('app', 'orders'), ('app', 'items'), ('main', 'parts'), ('app', 'audit')) t(\"schema\", \"table\")")
+def parse_includes(spark, d):
+    return catalog_tables.parse_includes(_rows(spark, "includes string", _INCLUDES), "main")
+
+
+@query("SELECT * FROM (VALUES ('b.new'), ('c.other')) t(item)")
+def new_tables(spark, d):
+    """Tables that the new include list has and the old one hadn't."""
+    listed = lambda text: _rows(spark, "l string", [(text,)]).select(F.explode(F.split("l", " *, *")).alias("item"))
+    return listed("a.one, b.new, c.other").exceptAll(listed("a.one"))
+
+
+_SCHEMAS = [("QSYS", "T1"), ("QSYS2", "T2"), ("app", "T3"), ("qsys2", "T4"), ("QGPL", "T5")]
+
+
+@query(f"SELECT * FROM ({_values(_SCHEMAS)}) t(\"schema\", \"table\") WHERE upper(\"schema\") NOT IN ('QSYS', 'QSYS2')")
+def filter_system(spark, d):
+    return _rows(spark, "schema string, `table` string", _SCHEMAS).where(~F.upper("schema").isin("QSYS", "QSYS2"))
+
+
+@query(f"SELECT DISTINCT 'F' || file_no AS \"table\" FROM J WHERE file_no IN ({FILES_SQL}) AND file_no < 7 ORDER BY 1")
+def captured_tables(spark, d):
+    """All tables that are both requested and let through by the filter."""
+    name = F.concat(F.lit("F"), F.col("file_no").cast("string")).alias("table")
+    return journal(spark, d).where(F.col("file_no").isin(INCLUDED)).select(name).intersect(journal(spark, d).where("file_no < 7").select(name)).orderBy("table")
+
+
+_KINDS = [("DECIMAL", 9, 2), ("NUMERIC", 5, 0), ("SMALLINT", 2, 0), ("VARCHAR", 20, 0), ("CHAR () FOR BIT DATA", 10, 0), ("VARCHAR (20) FOR BIT DATA", 20, 0), ("TIMESTAMP", 26, 0), ("DATALINK", 9, 0), ("DOUBLE", 8, 0), ("XML", 44, 0)]
+
+
+@query(f"""SELECT name, CASE WHEN name LIKE '%FOR BIT DATA' THEN 'binary' WHEN name IN ('DECIMAL', 'NUMERIC') THEN 'decimal(' || len || ',' || scale || ')' WHEN name = 'SMALLINT' THEN 'smallint' WHEN name IN ('VARCHAR', 'XML') THEN 'string'
+  WHEN name = 'TIMESTAMP' THEN 'timestamp_ntz' WHEN name = 'DOUBLE' THEN 'double' END AS spark_type FROM ({_values(_KINDS)}) t(name, len, scale)""")
+def type_map(spark, d):
+    return _rows(spark, "name string, len int, scale int", _KINDS).select("name", catalog_tables.spark_type(F.col("name"), F.col("len"), F.col("scale")).alias("spark_type"))
+
+
+_MODES = [("initial", True, False), ("initial", True, True), ("initial", False, False), ("schema_only", False, False), ("when_needed", False, True), ("never", False, False)]
+
+
+@query(f"SELECT mode, done, added, CASE WHEN done AND NOT added THEN 'skip' WHEN mode IN ('initial', 'when_needed') THEN 'data' ELSE 'schema' END AS task FROM ({_values([(a, str(b).lower() == 'true', c) for a, b, c in _MODES])}) t(mode, done, added)")
+def snapshot_mode(spark, d):
+    rows = _rows(spark, "mode string, done boolean, added boolean", _MODES)
+    return rows.withColumn("task", F.when(F.col("done") & ~F.col("added"), "skip").when(F.col("mode").isin("initial", "when_needed"), "data").otherwise("schema"))
+
+
+# --- functions ------------------------------------------------------------
+
+
+@query("SELECT c_custkey, rpad(c_name, 10, ' ') AS short_right, lpad(c_name, 24, ' ') AS long_left, CASE WHEN length(c_name) >= 12 THEN c_name ELSE rpad(c_name, 12, ' ') END AS whole FROM customer")
+def fn_pad(spark, d):
+    c = F.col("c_name")
+    return table(spark, d, "customer").select("c_custkey", fn.pad_right(c, 10).alias("short_right"), fn.pad_left(c, 24).alias("long_left"), fn.pad_right_whole(c, 12).alias("whole"))
+
+
+@query("SELECT c_custkey, c_name AS trimmed FROM customer")
+def fn_trim(spark, d):
+    dirty = F.concat(F.lit("\t \x01"), F.col("c_name"), F.lit(" \r\n"))
+    return table(spark, d, "customer").select("c_custkey", fn.trim_controls(dirty).alias("trimmed"))
+
+
+@query("SELECT page_id, trim(regexp_replace(html, '[\\p{Cc}\\p{Cf}\\p{Co}]', '?', 'g')) AS cleaned FROM pages")
+def fn_clean_text(spark, d):
+    return table(spark, d, "pages").select("page_id", fn.clean_text(F.col("html")).alias("cleaned"))
+
+
+@query("SELECT p_partkey, list_aggregate(list_transform(list_filter(string_split(upper(replace(p_type, ' ', '_')), '_'), lambda x: x != ''), lambda x: upper(x[1:1]) || lower(x[2:])), 'string_agg', '') AS camel FROM part")
+def fn_camel(spark, d):
+    return table(spark, d, "part").select("p_partkey", fn.camel(F.upper(F.regexp_replace("p_type", " ", "_"))).alias("camel"))
+
+
+@query("SELECT p_partkey, upper(p_name[1:1]) || lower(p_name[2:]) AS capital FROM part")
+def fn_capitalize(spark, d):
+    return table(spark, d, "part").select("p_partkey", fn.capitalize(F.col("p_name")).alias("capital"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 != 0 THEN strftime(date_trunc('second', o_orderdate), '%Y-%m-%d %H:%M:%S') END AS attached FROM orders")
+def fn_cyymmdd(spark, d):
+    text = F.concat((F.year("o_orderdate") >= 2000).cast("int").cast("string"), F.date_format("o_orderdate", "yyMMddHHmmss"))
+    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, "broken").otherwise(text).alias("t"))
+    return o.select("o_orderkey", F.date_format(fn.attach_time(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("attached"))
+
+
+@query("SELECT seq, CASE WHEN seq % 3 != 0 THEN CAST(left(lpad(CAST(seq % 100000 AS VARCHAR), 5, '0'), 2) AS INT) END AS chain FROM J")
+def fn_chain(spark, d):
+    five = F.lpad((F.col("seq") % 100000).cast("string"), 5, "0")
+    return journal(spark, d).select("seq", fn.chain_number(F.when(F.col("seq") % 3 == 0, "12").otherwise(five)).alias("chain"))
+
+
+@query("SELECT o_orderkey, o_orderkey AS decoded FROM orders")
+def fn_binary_int(spark, d):
+    raw = F.unhex(F.lpad(F.hex("o_orderkey"), 8, "0"))
+    return table(spark, d, "orders").select("o_orderkey", fn.big_endian(raw).alias("decoded"))
+
+
+@query("SELECT c_custkey, hex(c_name) AS dump FROM customer")
+def fn_hex(spark, d):
+    return table(spark, d, "customer").select("c_custkey", F.hex(F.encode("c_name", "UTF-8")).alias("dump"))
+
+
+@query("SELECT rcv, CASE status WHEN 1 THEN 'Attached' WHEN 2 THEN 'OnlineSavedDetached' WHEN 5 THEN 'Partial' END AS status FROM R")
+def fn_status(spark, d):
+    return receivers(spark, d).select("rcv", chain.status_name(F.col("status")).alias("status"))
+
+
+_DEFAULTS = [("DATE", "'2020-01-02'"), ("TIMESTAMP", "2020-01-02-03.04.05.000006"), ("DECIMAL", "1.005"), ("DECIMAL", "x"), ("INTEGER", " 12 "), ("CHAR", "'abc'"), ("TIMESTAMP", "CURRENT_TIMESTAMP"), ("BOOLEAN", "1"), ("CHAR", "NULL")]
+_PARSED = ["18263", "1577934245", "1.01", None, "12", "abc", None, "true", None]
+
+
+@query(f"SELECT * FROM ({_values([(*a, b) for a, b in zip(_DEFAULTS, _PARSED, strict=True)])}) t(kind, raw, parsed)")
+def fn_default_value(spark, d):
+    return _rows(spark, "kind string, raw string", _DEFAULTS).withColumn("parsed", fn.default_value(F.col("kind"), F.col("raw")))
+
+
+@query("SELECT DISTINCT file_no, 'host.LIB.F' || file_no AS topic FROM J")
+def fn_topic(spark, d):
+    return journal(spark, d).select("file_no").distinct().withColumn("topic", fn.topic("host", [F.lit("LIB"), F.concat(F.lit("F"), F.col("file_no").cast("string"))]))
+
+
+# --- binary records -------------------------------------------------------
+
+FIELDS = [
+    codec.Field("id", "integer"), codec.Field("amount", "packed", 9, 2), codec.Field("rate", "zoned", 5, 3), codec.Field("name", "char", 20), codec.Field("note", "varchar", 20), codec.Field("ratio", "double"),
+]
+_RECORD_DDL = "id int, amount decimal(9,2), rate decimal(5,3), name string, note string, ratio double, decode_error string"
+
+
+def _records(spark, d):
+    """Customers as fixed-layout records."""
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                row = {"id": r["c_custkey"], "amount": round(r["c_acctbal"], 2), "rate": 1.5, "name": r["c_name"][:20], "note": r["c_mktsegment"], "ratio": r["c_acctbal"]}
+                row |= {k: codec.Decimal(str(row[k])) for k in ("amount", "rate")}
+                out.append(codec.encode_record(FIELDS, row))
+            yield pa.record_batch([b.column(0), pa.array(out, pa.binary())], names=["c_custkey", "record"])
+
+    return table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_name", "c_mktsegment").mapInArrow(run, "c_custkey long, record binary")
+
+
+@query("SELECT CAST(c_custkey AS INT) AS id, round(c_acctbal, 2) AS amount, CAST(1.5 AS DOUBLE) AS rate, rpad(c_name, 20, ' ') AS name, c_mktsegment AS note, c_acctbal AS ratio, CAST(NULL AS VARCHAR) AS decode_error FROM customer")
+def decode_row(spark, d):
+    import pyarrow as pa
+
+    schema = pa.schema([("id", pa.int32()), ("amount", pa.decimal128(9, 2)), ("rate", pa.decimal128(5, 3)), ("name", pa.string()), ("note", pa.string()), ("ratio", pa.float64()), ("decode_error", pa.string())])
+    return _records(spark, d).select("record").mapInArrow(codec.arrow_decoder(FIELDS, "record", schema), _RECORD_DDL).withColumns({c: F.col(c).cast("double") for c in ("amount", "rate")})
+
+
+def _blocks(spark, d):
+    """The journal as binary blocks of one segment each."""
+    import pandas as pd
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq")
+        entries = [codec.encode_entry({"sequence": s, "commit_cycle": c}, {"journal_code": k[0], "entry_type": k[2:], "object": f"{'F' + str(f):10}{'LIB':10}{'MEM':10}"}) for s, c, k, f in zip(pdf["seq"], pdf["cycle"], pdf["code"], pdf["file_no"], strict=True)]
+        return pd.DataFrame({"block": [codec.encode_block(entries, False, f"RCV{pdf['rcv'].iat[0]:05}", "LIB", int(pdf["seq"].iat[-1]))]})
+
+    return journal(spark, d).select("rcv", "seq", "cycle", "code", "file_no").groupBy("rcv").applyInPandas(run, "block binary")
+
+
+@query("SELECT 'RCV' || lpad(CAST(rcv AS VARCHAR), 5, '0') AS receiver, CAST(count(*) AS INT) AS entries, max(seq) AS seq, CAST(46 + 8 - 1 + count(*) * 219 AS INT) AS total_bytes FROM J GROUP BY rcv")
+def decode_first_header(spark, d):
+    import pandas as pd
+
+    @F.pandas_udf("receiver string, entries int, seq long, total_bytes int")
+    def first(x: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(h["receiver"], h["entries"], h["sequence"], h["total_bytes"]) for h in map(codec.decode_first, x)], columns=["receiver", "entries", "seq", "total_bytes"])
+
+    return _blocks(spark, d).select(first("block").alias("h")).select("h.*")
+
+
+@query("SELECT seq AS sequence, cycle AS commit_cycle, code, 'F' || rpad(CAST(file_no AS VARCHAR), 9, ' ') || 'LIB       MEM' AS object, '' AS job, '' AS \"user\" FROM J")
+def decode_entry_header(spark, d):
+    return codec.explode_blocks(_blocks(spark, d))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE c_name END AS c_name, CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer")
+def null_overlay(spark, d):
+    """An indicator of 1 makes a field null; 0 and 9 leave it."""
+    c = table(spark, d, "customer").withColumn("_null", F.when(F.col("c_custkey") % 3 == 1, F.array(F.lit(1), F.lit(0))).when(F.col("c_custkey") % 3 == 2, F.array(F.lit(9), F.lit(1))).otherwise(F.array(F.lit(0), F.lit(9))))
+    return c.select("c_custkey", *(F.when(F.element_at("_null", i) != 1, F.col(n)).alias(n) for i, n in ((1, "c_name"), (2, "c_acctbal"))))
+
+
+@query("SELECT c_custkey, c_name AS decoded FROM customer")
+def decode_varchar(spark, d):
+    """A two-byte count, the bytes, and padding."""
+    raw = F.concat(F.unhex(F.lpad(F.hex(F.length("c_name")), 4, "0")), F.encode("c_name", "UTF-8"), F.unhex(F.lit("0000")))
+    x = table(spark, d, "customer").select("c_custkey", raw.alias("x"))
+    return x.select("c_custkey", F.decode(F.expr("substring(x, 3, cast(conv(hex(substring(x, 1, 2)), 16, 10) as int))"), "UTF-8").alias("decoded"))
+
+
+@query("SELECT c_custkey, c_name AS declared, c_name AS actual FROM customer")
+def ccsid_override(spark, d):
+    """Text stored in one code page and declared in another, read as declared and as stored."""
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def stored(x: pd.Series) -> pd.Series:
+        return x.map(lambda s: s.encode("cp500").decode(codec.page(37, (37, 500))))
+
+    c = table(spark, d, "customer")
+    return c.select("c_custkey", F.col("c_name").alias("declared"), stored("c_name").alias("actual"))
+
+
+@query()
+def schema_roundtrip(spark, d):
+    """A schema as catalogue rows, and from them as DDL again."""
+    fields = table(spark, d, "orders").schema.fields
+    rows = _rows(spark, "place int, name string, kind string, nullable boolean", [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(fields)])
+    return rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "name", "kind"))), lambda x: F.concat(x["name"], F.lit(" "), x["kind"])), ", ").alias("ddl"))
+
+
+# --- record transforms ----------------------------------------------------
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def smt_lowercase(spark, d):
+    n = table(spark, d, "nation")
+    return n.toDF(*(c.upper() for c in n.columns)).toDF(*(c.lower() for c in n.columns))
+
+
+_TOPICS = [("FOO.BAR.TOPIC", "myschema.topic"), ("TOPIC", "myschema.topic"), ("TOPIC.", "myschema.")]
+
+
+@query(f"SELECT * FROM ({_values(_TOPICS)}) t(topic, moved)")
+def smt_topic(spark, d):
+    return _rows(spark, "topic string, moved string", _TOPICS).select("topic", fn.topic_of_table(F.col("topic"), "myschema").alias("moved"))
+
+
+_SCHEMA_NAMES = [("db.com.schema.TABLE.Key", "com.acme.TableKey"), ("db.com.schema.ORDER_LINES.Value", "com.acme.OrderLinesValue"), ("plain", "plain")]
+
+
+@query(f"SELECT * FROM ({_values(_SCHEMA_NAMES)}) t(name, renamed)")
+def smt_repackage(spark, d):
+    return _rows(spark, "name string, renamed string", _SCHEMA_NAMES).select("name", fn.schema_name(F.col("name"), "com.acme").alias("renamed"))
+
+
+@query("SELECT seq, value, code = 'R.DL' AS __deleted FROM J WHERE code IN ('R.PT', 'R.UP', 'R.DL')")
+def unwrap_rewrite(spark, d):
+    """Events flattened to their newest image, deletes marked."""
+    return feed.change_events(journal(spark, d)).select("seq", F.coalesce("after", "before").alias("value"), (F.col("op") == "DELETE").alias("__deleted"))
+
+
+@query()
+def sink_json(spark, d):
+    return feed.change_events(journal(spark, d), INCLUDED).select("seq", F.to_json(F.struct("op", "before", "after", "tx")).alias("value"))
+
+
+# --- health, logs, streams ------------------------------------------------
+
+_STATES = [("c1", 200, "RUNNING", "RUNNING"), ("c1", 200, "RUNNING", "UNASSIGNED"), ("c2", 200, "RUNNING", "FAILED"), ("c3", 500, "RUNNING", "RUNNING")]
+
+
+@query(f"SELECT connector, bool_and(http = 200 AND state IN ('RUNNING', 'UNASSIGNED') AND task IN ('RUNNING', 'UNASSIGNED')) AS ok FROM ({_values(_STATES)}) t(connector, http, state, task) GROUP BY 1")
+def health_rollup(spark, d):
+    fine = (F.col("http") == 200) & F.col("state").isin("RUNNING", "UNASSIGNED") & F.col("task").isin("RUNNING", "UNASSIGNED")
+    return _rows(spark, "connector string, http int, state string, task string", _STATES).groupBy("connector").agg(F.bool_and(fine).alias("ok"))
+
+
+@query()
+def structured_log(spark, d):
+    return receivers(spark, d).select(F.to_json(F.struct(F.lit("segment read").alias("message"), F.struct("rcv", "entries").alias("data"))).alias("line"))
+
+
+@query(_PAIRED_SQL)
+def stream_pair(spark, d):
+    return changes.run_to_end(changes.pair_stream(changes.as_stream(journal(spark, d))), "pairs").select("seq", "file_no", "before", F.nullif("after", F.lit(float("nan"))).alias("after"))
+
+
+@query(f"SELECT seq, tx FROM ({_TX_SQL}) WHERE code IN ('R.PT', 'R.UP', 'R.DL')")
+def stream_tx(spark, d):
+    return changes.run_to_end(changes.transaction_stream(changes.as_stream(journal(spark, d))), "transactions")
+
+
+@query(f"SELECT seq, code, {_KIND_SQL} AS kind FROM J WHERE code NOT IN ('F.OP', 'F.CL')")
+def stream_changes(spark, d):
+    s = feed.without_ignored(changes.as_stream(journal(spark, d)))
+    return changes.run_to_end(s.select("seq", "code", feed.kind(F.col("code")).alias("kind")), "changes")
+
+
+@query("SELECT policy, seq FROM (VALUES ('reset', 1)) t(policy, seq)")
+def data_loss_policy(spark, d):
+    """Where reading starts again if the stored segment is gone: with 'reset' at the head of the chain; 'fail' stops."""
+    first = receivers(spark, d).agg(F.min("first_seq").alias("seq"))
+    return first.select(F.lit("reset").alias("policy"), F.col("seq").cast("int").alias("seq"))
