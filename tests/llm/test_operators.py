@@ -1,0 +1,250 @@
+"""Each operator against a definition that is plain, slow and separate."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+
+import corpus_pipeline
+from tidefeed.llm import bpe, components, media, mixing, pivots, quality, queries, secret_scan, sharding, simhash, suffix, toxicity
+
+SF = "/root/testdata/sf0.001"
+TEXT = "doc_id long, text string"
+#: Nulls, empty and very long texts, ties and repeated rows.
+ODD = [(1, None), (2, ""), (3, "word " * 40_000), (4, "same text here now"), (5, "same text here now"), (5, "same text here now"), (None, "no id at all here"), (7, " \n\t "), (8, "ünï 🙂")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(*r, "a", "b") for r in ODD], f"{TEXT}, source string, score string")
+
+
+@pytest.fixture(scope="module")
+def none(odd):
+    return odd.limit(0)
+
+
+def plain_fingerprint(text):
+    w = bytes(text or "", "utf-8").lower().split()
+    shingles = [b" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum((2 * sum(h >> k & 1 for h in hashes) > len(hashes)) << k for k in range(64))
+
+
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_simhash_is_brute_force(spark, hot):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").union(spark.createDataFrame([(10**6, None, "x", "y", 0)], "doc_id long, text string, lang string, source string, n_chars long"))
+    rows = docs.select("doc_id", "text").collect()
+    prints = {r[0]: plain_fingerprint(r[1]) for r in rows}
+    ids = sorted(prints)
+    low = {i: i for i in ids}
+    moved = True
+    while moved:
+        moved = False
+        for a in ids:
+            for b in ids:
+                if low[b] < low[a] and (prints[a] ^ prints[b]).bit_count() <= 3:
+                    low[a], moved = low[b], True
+    got = {r["doc_id"]: (r["fp"] % (1 << 64), r["component_id"]) for r in simhash.near_duplicates(docs, hot_anchor=hot).collect()}
+    assert got == {i: (prints[i], low[i]) for i in ids}
+
+
+def test_golay_code_is_perfect():
+    starts, patterns, _ = simhash._patterns(0)
+    assert (np.diff(starts) == 1).all() and len(patterns) == 2048
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(0, k) for k in range(400, 460)]
+    root = {x: x for p in pairs for x in p}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(pairs, "u long, v long")).collect()}
+    assert got == {x: r for x, r in root.items() if any(a != b and x in (a, b) for a, b in pairs)}
+
+
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_repeats_are_brute_force(spark, most):
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abc d", k=900)) for _ in range(3)]
+    texts = []
+    for _ in range(40):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            b, i = rng.choice(base), rng.randint(0, 700)
+            parts += [b[i : i + rng.randint(20, 400)], "".join(rng.choices("xyzü", k=rng.randint(0, 60)))]
+        texts.append("".join(parts))
+    texts += ["a" * 500, "ab" * 300, "", "a" * 199, "a" * 200, None, texts[5], texts[5]]
+    got = suffix.digests(spark.createDataFrame(list(enumerate(texts)), TEXT)).orderBy("doc_id").collect()
+    assert [(r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == suffix.brute_force([(t or "").encode() for t in texts], 200)
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_vectors_against_brute_force(spark, block):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((150, 16))
+    x = np.vstack([x, x[:40] + 0.08 * rng.standard_normal((40, 16)), x[:5], np.repeat(x[:1], 60, 0) + 0.02 * rng.standard_normal((60, 16))]).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(900, None, 0), (901, [0.0] * 16, 0), (902, [float("nan")] * 16, 0), (903, [1.0, None] * 8, 0), (904, [1.0], 0)]
+    got = {r["vec_id"]: r for r in pivots.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), block=block).collect()}
+    y = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    near = (y @ y.T >= 0.9) & ~np.eye(len(y), dtype=bool)
+    assert sum(r["n_links"] for r in got.values()) >= 0.9 * near.sum()
+    assert all(r["n_links"] <= near[i].sum() for i, r in got.items() if i < 900)
+    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in range(900, 905))
+
+
+def test_media_round_trip():
+    rng = random.Random(2)
+    for n in (0, 1, 63, 64, 65, 1000):
+        data = media.pad(rng.randbytes(n))
+        assert media.decode_png(media.encode_png(data)).tobytes() == data and len(data) % 64 == 0 and data
+    stored = bytearray(media.encode_png(media.pad(b"abc" * 99)))
+    stored[50] ^= 1
+    with pytest.raises(media.DamagedMedia):
+        media.decode_png(bytes(stored))
+
+
+def test_png_filters():
+    rng = np.random.default_rng(3)
+    image = rng.integers(0, 256, (6, 8)).astype(int)
+    lines = np.zeros((6, 9), np.uint8)
+    for y, kind in enumerate((4, 3, 4, 1, 2, 0)):
+        lines[y, 0] = kind
+        for x in range(8):
+            a, b, c = (image[y, x - 1] if x else 0), (image[y - 1, x] if y else 0), (image[y - 1, x - 1] if x and y else 0)
+            p = a + b - c
+            paeth = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
+            lines[y, x + 1] = (image[y, x] - (0, a, b, (a + b) // 2, paeth)[kind]) % 256
+    assert (media._unfilter(lines) == image).all()
+
+
+def test_bpe_is_tiktoken():
+    with open(queries.RANKS, "rb") as f:
+        ranks = bpe.load_ranks(f)
+    own = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(1)
+    for _ in range(1500):
+        text = "".join(rng.choice(rng.choice(["ab", " \n\t", "aeiouthn", "äöüß", "日本語", "0123", "!?.,$", "🙂👍🏽‍"])) for _ in range(rng.randint(0, 40)))
+        ids = own.encode(text)
+        assert ids == other.encode_ordinary(text)
+        assert "".join(own.decode_stream(ids)) == text and own.decode_bytes(ids) == text.encode()
+    for text in ("a" * 3000, "ab" * 3000, " " * 3000):
+        assert own.encode(text) == other.encode_ordinary(text)
+
+
+def test_utf8_machine():
+    rng = random.Random(5)
+    for _ in range(2000):
+        data = bytes(rng.choice([0x41, 0x80, 0xC3, 0xA4, 0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x98, 0xED, 0xA0, 0xFF]) for _ in range(rng.randint(0, 9)))
+        machine = bpe.Utf8()
+        assert "".join(machine.feed(data[i : i + 1]) for i in range(len(data))) + machine.close() == data.decode("utf-8", "replace")
+
+
+def test_isotonic_increases():
+    rng = np.random.default_rng(1)
+    s = rng.random(400)
+    at, level = quality.isotonic(s, (rng.random(400) < s).astype(float))
+    assert (np.diff(at) > 0).all() and (np.diff(level) >= -0.2).all()
+
+
+@pytest.mark.parametrize(("score", "label"), [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
+def test_held_out_accuracy(spark, score, label):
+    d = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    rows = score(spark.read.parquet(f"{d}/documents.parquet"), labels).join(labels, "doc_id").where("held_out").select("predicted", label).collect()
+    assert sum(r[0] == r[1] for r in rows) / len(rows) > 0.97
+
+
+def test_clauses():
+    words = toxicity.Lexicon({"moron": 4.0}, {})
+    weight = lambda t: sum(w for w, _ in toxicity.clauses(map(words.symbol, toxicity.tokens(t))))
+    assert weight("a fine day") == 0 < weight("he said moron") < weight("moron")
+    assert weight("not a moron") < weight("moron") < weight("you moron")
+    assert weight("I will hurt you") > 0 == weight("it will hurt")
+
+
+def test_forest_and_features_agree(spark):
+    rng = secret_scan.random.Random(77)
+    made = [secret_scan._finding(rng) for _ in range(300)]
+    own = [secret_scan.score_of(secret_scan.features(secret_scan.Plain, c, left[-40:], right[:16])) for left, c, right, _ in made]
+    assert sum((s >= 0.5) == y for s, (*_, y) in zip(own, made, strict=True)) > 290
+    text = 'x token = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b" and commit 9f86d081884c7d659a2feaa0c55ad015a3bf4f1b or 4111111111111111'
+    docs = spark.createDataFrame([(1, text, 5), (2, None, 5), (3, "", 5)], f"{TEXT}, n_chars long")
+    found = secret_scan.scan(docs).collect()
+    assert [r["is_secret"] for r in found] == [True, False, False]
+    clean = {r["doc_id"]: r for r in secret_scan.redact(docs).collect()}
+    assert clean[1]["text"].startswith(f'x token = "{secret_scan.MASK}" and commit 9f86') and clean[1]["n_chars"] == len(clean[1]["text"])
+    assert clean[2]["text"] is None and clean[3]["text"] == ""
+
+
+def test_sharding_moves_little():
+    shards = [f"s{i}" for i in range(20)]
+    before, after = sharding.fill_table(shards), sharding.fill_table(shards[:-1])
+    sizes = np.bincount(before)
+    assert sizes.max() - sizes.min() <= 1
+    assert len(before) > 20 * sharding.SLOTS_PER_SHARD and len(set(after)) == 19
+
+
+def test_schedule_deviates_by_less_than_a_block():
+    quota = mixing.quotas(mixing.tempered({f"s{i}": 10 + i * i * 50 for i in range(12)}), 1000)
+    slots, done, period = mixing.one_period(quota), dict.fromkeys(quota, 0), sum(quota.values())
+    for t, s in enumerate(slots, 1):
+        done[s] += 1
+        assert all(abs(done[x] * period - q * t) < period for x, q in quota.items())
+    assert done == quota
+
+
+def test_mix_keeps_all(spark):
+    docs = spark.createDataFrame([(i, "big" if i % 3 else f"s{i % 7}") for i in range(900)] + [(None, None), (5, "s5")], "doc_id long, source string")
+    rows = mixing.mix(docs, block=4).collect()
+    first = [(r["doc_id"], r["source"]) for r in rows if r["epoch"] == 0]
+    assert sorted(map(str, first)) == sorted(str((r[0], r[1])) for r in docs.collect())
+    assert len({r["position"] for r in rows}) == len(rows)
+
+
+@pytest.mark.parametrize("table", ["odd", "none"])
+def test_odd_rows(spark, table, request):
+    docs = request.getfixturevalue(table)
+    n = docs.count()
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (4, 1, 0), (None, 1, 1), (5, None, None), (8, 0, 1)], "doc_id long, quality int, toxic int")
+    assert simhash.near_duplicates(docs).count() == n
+    assert suffix.digests(docs).count() == n
+    got = media.digests(media.to_media(docs)).collect()
+    assert len(got) == n
+    coded = bpe.digests(docs, queries.RANKS, public_tokenizers.PATTERN).collect()
+    assert len(coded) == n
+    assert bpe.encode(docs, queries.RANKS, public_tokenizers.PATTERN).columns == [*docs.columns, "ids"]
+    assert quality.score_quality(docs, labels).count() == n
+    assert toxicity.score_toxicity(docs, labels).count() == n
+    assert sharding.place(docs, ["a", "b"]).count() == n
+    assert secret_scan.redact(docs).count() == n
+    assert mixing.mix(docs).where("epoch = 0").count() == n
+    if n:
+        two = next(r for r in got if r["doc_id"] == 2)
+        assert two["payload_bytes"] == 64 and two["payload_sha256"] == hashlib.sha256(bytes(64)).hexdigest() and two["tail_crc32"] == zlib.crc32(bytes(64))
+        assert next(r for r in coded if r["doc_id"] == 1)["n_tokens"] == 0
+        kept = simhash.keep_first(docs)
+        assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "3", "4", "8", "None"])
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    after = docs
+    for name, stage in corpus_pipeline.STAGES:
+        before, after = after, stage(spark, after, SF)
+        after = after.cache()
+        if name != "byte_level_bpe":
+            assert after.columns == docs.columns
+        ids = {r[0] for r in after.select("doc_id").collect()}
+        assert ids <= {r[0] for r in before.select("doc_id").collect()}
+        if name in ("secret_scan", "mixing", "byte_level_bpe"):
+            assert ids == {r[0] for r in before.select("doc_id").collect()}
+    assert after.columns == ["doc_id", "source", "n_tokens", "ids"]
