@@ -24,7 +24,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -149,12 +148,46 @@ def _spans(repeated: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-def _compare(group: pd.DataFrame, length: int) -> pd.DataFrame:
-    """The repeated windows of each run at one anchor. A window is at one place at most in a run."""
-    ranks = [_window_ranks(np.frombuffer(x, np.uint8), length) for x in group["body"]]
-    _, back, count = np.unique(np.concatenate(ranks), return_inverse=True, return_counts=True)
-    repeated = np.split(count[back] > 1, np.cumsum([len(r) for r in ranks])[:-1])
-    return pd.DataFrame({"anchor": group["anchor"], "run": group["run"], "spans": [_spans(r) for r in repeated]})
+def _repeated_windows(anchors: np.ndarray, bodies: list[bytes], length: int) -> list[list[int]]:
+    """Spans of the windows of each run that another run at the same anchor has too. A window is at one place at most in a run."""
+    data = np.frombuffer(b"".join(bodies), np.uint8)
+    sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
+    starts, n = np.cumsum(sizes) - sizes, sizes - length + 1
+    who = np.repeat(np.arange(len(bodies)), n)
+    first = np.cumsum(n) - n
+    at = np.arange(len(who)) - first[who] + starts[who]
+    rank = _window_ranks(data, length)[at] ^ _mixed(anchors.view(np.uint64))[who]
+    order = np.argsort(rank)
+    same = rank[order][1:] == rank[order][:-1]
+    repeated = np.zeros(len(who), bool)
+    repeated[order[1:][same]] = repeated[order[:-1][same]] = True
+    return [_spans(repeated[lo : lo + k]) for lo, k in zip(first.tolist(), n.tolist(), strict=True)]
+
+
+def _compare(contexts: DataFrame, length: int) -> DataFrame:
+    """``(anchor, run, spans)``. The partitions stream in the order of their anchors; a few anchors are held at a time."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if sum(r.num_rows for r in rows):
+                t = pa.Table.from_batches(rows).combine_chunks()
+                spans = _repeated_windows(t.column(0).to_numpy(), t.column(2).to_pylist(), length)
+                yield from t.select(["anchor", "run"]).append_column("spans", pa.array(spans, pa.list_(pa.int64()))).to_batches()
+
+        for b in batches:
+            for lo in range(0, b.num_rows, 5000):
+                part = b.slice(lo, 5000)
+                anchors = part.column(0).to_numpy()
+                last = int(np.searchsorted(anchors, anchors[-1]))  # where the anchor begins that may go on in the next part
+                if last or held and held[-1].column(0)[-1].as_py() != anchors[0]:
+                    yield from done([*held, part.slice(0, last)])
+                    held = []
+                held.append(part.slice(last))
+        yield from done(held)
+
+    return contexts.select("anchor", "run", "body").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(go, "anchor long, run long, spans array<long>")
 
 
 def _by_window(contexts: DataFrame, length: int) -> DataFrame:
@@ -190,8 +223,7 @@ def _repeated(keyed: DataFrame, length: int, most_runs: int) -> DataFrame:
     asked = classes.join(shared, "anchor").select("anchor", "run", "different", "witness.*")
     contexts = cut(_contexts(keyed, asked, length), "contexts")
     many = cut(contexts.groupBy("anchor").count().where(F.col("count") > most_runs).select("anchor"), "many")
-    few = contexts.join(many, "anchor", "left_anti").groupBy("anchor").applyInPandas(lambda g: _compare(g, length), "anchor long, run long, spans array<long>")
-    partly = few.unionByName(_by_window(contexts.join(many, "anchor", "left_semi"), length)).where(F.size("spans") > 0)
+    partly = _compare(contexts.join(many, "anchor", "left_anti"), length).unionByName(_by_window(contexts.join(many, "anchor", "left_semi"), length)).where(F.size("spans") > 0)
     whole = classes.where("n > 1").select("anchor", "run", F.lit(None).cast("array<long>").alias("spans"))
     verdicts = partly.join(whole, ["anchor", "run"], "left_anti").unionByName(whole)
     hit = found.join(verdicts, ["anchor", "run"])
