@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 from tidefeed.llm.storage import ship
 
 #: Determinised steps and cached pieces that one worker keeps; beyond it, it forgets and works them out again.
-STEPS, PIECES, LONGEST_PIECE = 300_000, 500_000, 64
+STEPS, PIECES, LONGEST_PIECE = 150_000, 250_000, 64
+#: Texts of which the ids are held at a time.
+ROWS = 500
 
 
 def load_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
@@ -296,7 +298,7 @@ def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", outpu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, shared.value, pattern)
-        for b in batches:
+        for b in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
             ids = pa.array([codec.encode((t or b"").decode("utf-8", "replace")) for t in b.columns[-1].to_pylist()], pa.list_(pa.int32()))
             yield pa.record_batch([*b.columns[:-1], ids], names=schema.names)
 
@@ -314,7 +316,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, shared.value, pattern)
-        for b in batches:
+        for b in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
             n, ids_hash, text_hash = [], [], []
             for t in b.column(1).to_pylist():
                 ids = codec.encode((t or b"").decode("utf-8", "replace"))
