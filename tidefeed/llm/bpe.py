@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import regex
@@ -284,17 +284,17 @@ def _shared(df: DataFrame, path: str, pattern: str):
     return hashlib.sha256(data + pattern.encode()).hexdigest(), df.sparkSession.sparkContext.broadcast(data)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", output: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", output: str = "ids", keep: Sequence[str] | None = None) -> DataFrame:
     """``docs`` with the array ``output`` of token ids of a string column; ``path``: the driver's rank file.
 
-    Null counts as empty: no ids. Bytes that aren't UTF-8 become U+FFFD first. A
-    column named like ``output`` is replaced; no rows, no rows.
+    ``keep`` names the columns returned beside it (None: all). Null counts as empty: no
+    ids. Bytes that aren't UTF-8 become U+FFFD first. A column named like ``output`` is
+    replaced; no rows, no rows.
     """
     name, shared = _shared(docs, path, pattern)
-    source = docs.withColumn("_text", F.col(column).cast("binary"))
-    docs = docs.drop(output, "_text")
-    source = source.select(*docs.columns, "_text")
-    schema = docs.schema.add(output, T.ArrayType(T.IntegerType()))
+    kept = docs.select(*[c for c in (docs.columns if keep is None else keep) if c not in (output, "_text")])
+    source = docs.withColumn("_text", F.col(column).cast("binary")).select(*kept.columns, "_text")
+    schema = kept.schema.add(output, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, shared.value, pattern)
