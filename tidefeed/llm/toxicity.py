@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from math import exp, log, log1p
 
@@ -127,6 +127,8 @@ def tokens(text: str) -> list[str]:
 
 
 N_FEATURES = 5
+#: Texts that are held as Python strings at a time.
+ROWS = 500
 
 
 def features(text: str, lexicon: Lexicon, automaton: ahocorasick.Automaton) -> list[float]:
@@ -221,23 +223,28 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, bound
     return ToxicityModel(lexicon, logistic(np.array([p[0] for p in pairs]), y))
 
 
-def with_score(docs: DataFrame, model: ToxicityModel | None, output: str = "score") -> DataFrame:
-    """``docs`` with a double of 0 to 1, higher: toxic likelier. Null and empty texts have no clause; no model, 0.5."""
+def with_score(docs: DataFrame, model: ToxicityModel | None, output: str = "score", keep: Sequence[str] | None = None) -> DataFrame:
+    """``docs``, or their columns ``keep``, with a double of 0 to 1, higher: toxic likelier.
+
+    Null and empty texts have no clause; no model, 0.5. A column named like ``output`` is replaced.
+    """
     ship(docs.sparkSession)
-    docs = docs.drop(output, "_text")
-    schema = docs.schema.add(output, "double")
+    docs = docs.select(*[c for c in docs.columns if c != output and (keep is None or c in (*keep, "text"))])
+    kept = docs.select(*[c for c in docs.columns if keep is None or c in keep])
+    places, text = [docs.columns.index(c) for c in kept.columns], docs.columns.index("text")
+    schema = kept.schema.add(output, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.lexicon.automaton() if model else None
-        for b in batches:
-            texts = b.columns[-1].to_pylist()
+        for b in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
+            texts = b.column(text).cast(pa.binary()).to_pylist()
             scores = [model.score(features((t or b"").decode("utf-8", "replace"), model.lexicon, automaton)) if model else 0.5 for t in texts]
-            yield pa.record_batch([*b.columns[:-1], pa.array(scores, pa.float64())], names=schema.names)
+            yield pa.record_batch([*map(b.column, places), pa.array(scores, pa.float64())], names=schema.names)
 
-    return docs.withColumn("_text", F.col("text").cast("binary")).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, bound: int = TRAINING_ROWS) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row of ``docs``; a null id isn't held out."""
-    scored = with_score(docs.select("doc_id", "text"), fit(docs, labels, folds, held, bound))
+    scored = with_score(docs, fit(docs, labels, folds, held, bound), keep=["doc_id"])
     return scored.select("doc_id", F.coalesce(remainder(folds) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
