@@ -8,8 +8,8 @@ at a time, but the one that is complete after a given byte is unique.
 
 ``Transducer`` determinises that machine while it runs: a state is the set of open
 paths, and a step on a byte is worked out once: the next state and the token that is
-complete there. Tokens are emitted where a single path is left; an open path starts
-at most one token's length back, which bounds the lookahead.
+complete there. An open path starts at most one token's length back; tokens up to
+the last border that all open paths share are settled and emitted.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -28,7 +29,9 @@ from pyspark.sql import types as T
 from tidefeed.llm.storage import ship
 
 #: Determinised steps and cached pieces that one worker keeps; beyond it, it forgets and works them out again.
-STEPS, PIECES, LONGEST_PIECE = 150_000, 250_000, 64
+STEPS, PIECES, LONGEST_PIECE = 500_000, 250_000, 64
+#: Bytes of a long piece after which settled tokens are emitted.
+CHUNK = 256
 #: Texts of which the ids are held at a time.
 ROWS = 500
 
@@ -63,27 +66,29 @@ class Transducer:
         self.bytes_of = {r: t for t, r in ranks.items()}
         # trie: children[node] = {byte: node}; token_at[node] = rank or -1
         self.children: list[dict[int, int]] = [{}]
-        self.token_at = [-1]
+        self.token_at, self.depth = [-1], [0]
         for token, rank in ranks.items():
             node = 0
             for b in token:
-                node = self.children[node].setdefault(b, len(self.children))
+                before, node = node, self.children[node].setdefault(b, len(self.children))
                 if node == len(self.children):
                     self.children.append({})
                     self.token_at.append(-1)
+                    self.depth.append(self.depth[before] + 1)
             self.token_at[node] = rank
         self.length = {r: len(t) for t, r in ranks.items()}
         self._reached: dict[int, bool] = {}
         self._split: dict[int, tuple[int, ...] | None] = {}
-        self._follows: dict[tuple[int, int], bool] = {}
+        self._follows: dict[int, bool] = {}
+        self.paths = len(ranks) + 1
         self._forget()
 
     def _forget(self) -> None:
-        # A state is its open paths: (trie node, token before the path's last start).
-        self.states: list[tuple[tuple[int, int], ...]] = [((0, -1),)]
+        # A state is its open paths: trie node * paths + token before the path's start + 1. It is named by a multiple of
+        # 256, so that name + byte is the key of a step to (state, token that is complete there or -1).
+        self.states: list[tuple[int, ...]] = [(0,)]
         self.number = {self.states[0]: 0}
-        self.steps: list[dict[int, tuple[int, int, bool]]] = [{}]
-        self.made = 0
+        self.steps: dict[int, tuple[int, int]] = {}
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens that the last merge joins in the encoding of the token's own bytes; None of a single byte."""
@@ -108,10 +113,11 @@ class Transducer:
         """
         if before < 0:
             return self._reachable(token)
-        known = self._follows.get((before, token))
+        pair = before * self.paths + token
+        known = self._follows.get(pair)
         if known is not None:
             return known
-        if len(self._follows) > 4 * STEPS:
+        if len(self._follows) > 2 * STEPS:
             self._follows.clear()
         fine = self._reachable(token)
         a, b, until = before, token, len(self.ranks) + 1
@@ -127,48 +133,69 @@ class Transducer:
                 until, b = b + 1, right[0]
             else:
                 break
-        self._follows[before, token] = fine
+        self._follows[pair] = fine
         return fine
 
-    def _step(self, state: int, byte: int) -> tuple[int, int, bool]:
+    def _step(self, state: int, byte: int) -> tuple[int, int]:
         after, done = [], -1
-        for node, before in self.states[state]:
-            node = self.children[node].get(byte, -1)
-            if node < 0:
+        for path in self.states[state >> 8]:
+            node, before = divmod(path, self.paths)
+            to = self.children[node].get(byte, -1)
+            if to < 0:
                 continue
-            if self.children[node]:
-                after.append((node, before))
-            token = self.token_at[node]
-            if done < 0 <= token and self.may_follow(before, token):
+            if self.children[to]:
+                after.append(path + (to - node) * self.paths)
+            token = self.token_at[to]
+            if done < 0 <= token and self.may_follow(before - 1, token):
                 done = token
         if done >= 0:
-            after.append((0, done))
+            after.append(done + 1)
         key = tuple(after)
         to = self.number.get(key)
         if to is None:
-            to = self.number[key] = len(self.states)
+            to = self.number[key] = len(self.states) << 8
             self.states.append(key)
-            self.steps.append({})
-        self.steps[state][byte] = out = (to, done, done >= 0 and len(after) == 1)
-        self.made += 1
+        self.steps[state + byte] = out = (to, done)
         return out
 
+    def _walk(self, state: int, piece: bytes, ends: list[int]) -> int:
+        known, push = self.steps.get, ends.append
+        for byte in piece:
+            state, done = known(state + byte) or self._step(state, byte)
+            push(done)
+        return state
+
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """The ids of one piece; as the tiktoken library, a piece that is a token is that token."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if self.made > STEPS:
+        if len(self.steps) > STEPS:
             self._forget()
+        ends: list[int] = []
+        if len(piece) <= CHUNK:
+            self._walk(self.START, piece, ends)
+            return tuple(self._back(ends))
         out: list[int] = []
-        state, steps, ends = self.START, self.steps, []
-        for byte in piece:
-            state, done, alone = steps[state].get(byte) or self._step(state, byte)
-            ends.append(done)
-            if alone:  # all paths agree up to here
-                out += self._back(ends)
-                ends = []
-        return tuple(out + self._back(ends)) if ends else tuple(out)
+        state = self.START
+        for at in range(0, len(piece), CHUNK):
+            state = self._walk(state, piece[at : at + CHUNK], ends)
+            settled = self._settled(state, ends)
+            out += self._back(ends[:settled])
+            ends = ends[settled:]
+        return tuple(out + self._back(ends))
+
+    def _settled(self, state: int, ends: list[int]) -> int:
+        """The last border of tokens that all open paths have in common."""
+        common: set[int] | None = None
+        for path in self.states[state >> 8]:
+            at = len(ends) - self.depth[path // self.paths]
+            borders = {at}
+            while at > 0:
+                at -= self.length[ends[at - 1]]
+                borders.add(at)
+            common = borders if common is None else common & borders
+        return max(common or {0})
 
     def _back(self, ends: list[int]) -> list[int]:
         """The path that is complete at the last byte, from the token that ends at each."""
@@ -231,6 +258,22 @@ class Utf8:
         return "�" if cut else ""
 
 
+class Pieces(dict):
+    """The ids of pieces met so far, in two generations of half of PIECES: as one fills up, the other is forgotten, but for the pieces that came again."""
+
+    def __init__(self, encode: Callable[[bytes], tuple[int, ...]]):
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.old.get(piece) or self.encode(piece.encode("utf-8", "replace"))
+        if len(piece) <= LONGEST_PIECE:
+            if len(self) >= PIECES // 2:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """Texts to ids and back, with the pieces met so far kept in a bounded cache."""
 
@@ -238,21 +281,10 @@ class Codec:
         self.transducer = Transducer(ranks)
         self.split = regex.compile(pattern).findall
         self.bytes_of = self.transducer.bytes_of
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = Pieces(self.transducer.encode)
 
     def encode(self, text: str) -> list[int]:
-        known, out = self.pieces.get, []
-        for piece in self.split(text):
-            out += known(piece) or self._piece(piece)
-        return out
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.transducer.encode(piece.encode("utf-8", "replace"))
-        if len(piece) <= LONGEST_PIECE:
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
+        return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
