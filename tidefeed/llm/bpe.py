@@ -58,11 +58,11 @@ class Transducer:
 
     START = 0
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], most: int = STEPS):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the ranks lack single bytes: {missing[:5]}")
-        self.ranks = ranks
+        self.ranks, self.most = ranks, most
         self.bytes_of = {r: t for t, r in ranks.items()}
         # trie: children[node] = {byte: node}; token_at[node] = rank or -1
         self.children: list[dict[int, int]] = [{}]
@@ -117,7 +117,7 @@ class Transducer:
         known = self._follows.get(pair)
         if known is not None:
             return known
-        if len(self._follows) > 2 * STEPS:
+        if len(self._follows) > 2 * self.most:
             self._follows.clear()
         fine = self._reachable(token)
         a, b, until = before, token, len(self.ranks) + 1
@@ -170,7 +170,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self.steps) > STEPS:
+        if len(self.steps) > self.most:
             self._forget()
         ends: list[int] = []
         if len(piece) <= CHUNK:
@@ -259,15 +259,15 @@ class Utf8:
 
 
 class Pieces(dict):
-    """The ids of pieces met so far, in two generations of half of PIECES: as one fills up, the other is forgotten, but for the pieces that came again."""
+    """The ids of pieces met so far, in two generations of half of ``most``: as one fills up, the other is forgotten, but for the pieces that came again."""
 
-    def __init__(self, encode: Callable[[bytes], tuple[int, ...]]):
-        self.encode, self.old = encode, {}
+    def __init__(self, encode: Callable[[bytes], tuple[int, ...]], most: int):
+        self.encode, self.old, self.most = encode, {}, most
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.old.get(piece) or self.encode(piece.encode("utf-8", "replace"))
         if len(piece) <= LONGEST_PIECE:
-            if len(self) >= PIECES // 2:
+            if len(self) >= self.most // 2:
                 self.old = dict(self)
                 self.clear()
             self[piece] = ids
@@ -277,11 +277,11 @@ class Pieces(dict):
 class Codec:
     """Texts to ids and back, with the pieces met so far kept in a bounded cache."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, steps: int = STEPS, pieces: int = PIECES):
+        self.transducer = Transducer(ranks, steps)
         self.split = regex.compile(pattern).findall
         self.bytes_of = self.transducer.bytes_of
-        self.pieces = Pieces(self.transducer.encode)
+        self.pieces = Pieces(self.transducer.encode, pieces)
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
@@ -300,12 +300,12 @@ class Codec:
 _codecs: dict[str, Codec] = {}
 
 
-def _codec(name: str, rank_file: bytes, pattern: str) -> Codec:
+def _codec(name: str, rank_file: bytes, pattern: str, steps: int = STEPS, pieces: int = PIECES) -> Codec:
     """This worker's codec, compiled once."""
     if name not in _codecs:
         _codecs.clear()
         gc.disable()  # the caches are millions of small tuples without cycles, which the collector would walk again and again
-        _codecs[name] = Codec(load_ranks(rank_file.splitlines()), pattern)
+        _codecs[name] = Codec(load_ranks(rank_file.splitlines()), pattern, steps, pieces)
     return _codecs[name]
 
 
@@ -316,20 +316,22 @@ def _shared(df: DataFrame, path: str, pattern: str):
     return hashlib.sha256(data + pattern.encode()).hexdigest(), df.sparkSession.sparkContext.broadcast(data)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", output: str = "ids", keep: Sequence[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", output: str = "ids", keep: Sequence[str] | None = None, steps: int = STEPS, pieces: int = PIECES) -> DataFrame:
     """``docs`` with the array ``output`` of token ids of a string column; ``path``: the driver's rank file.
 
-    ``keep`` names the columns returned beside it (None: all). Null counts as empty: no
+    ``keep`` names the columns returned beside it (None: all). ``steps`` and ``pieces``
+    bound what a worker keeps in memory; the ids don't depend on them. Null counts as empty: no
     ids. Bytes that aren't UTF-8 become U+FFFD first. A column named like ``output`` is
     replaced; no rows, no rows.
     """
     name, shared = _shared(docs, path, pattern)
+    name += f" {steps} {pieces}"
     kept = docs.select(*[c for c in (docs.columns if keep is None else keep) if c not in (output, "_text")])
     source = docs.withColumn("_text", F.col(column).cast("binary")).select(*kept.columns, "_text")
     schema = kept.schema.add(output, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(name, shared.value, pattern)
+        codec = _codec(name, shared.value, pattern, steps, pieces)
         for b in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
             ids = pa.array([codec.encode((t or b"").decode("utf-8", "replace")) for t in b.columns[-1].to_pylist()], pa.list_(pa.int32()))
             yield pa.record_batch([*b.columns[:-1], ids], names=schema.names)
