@@ -100,6 +100,19 @@ def test_vectors_against_brute_force(spark, block):
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in range(900, 905))
 
 
+@pytest.mark.parametrize("n", [32, 240])
+def test_vectors_of_a_hot_group(spark, n):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((1200, 64))
+    x[:400] = x[0] / np.linalg.norm(x[0]) + 0.33 / 8 * x[400:800]
+    x = x.astype(np.float32)
+    got = pivots.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), pivots=n).collect()
+    y = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    near = (y @ y.T >= 0.9) & ~np.eye(len(y), dtype=bool)
+    assert near.sum() > 10_000
+    assert 0.99 * near.sum() <= sum(r["n_links"] for r in got) <= near.sum()
+
+
 def test_media_round_trip():
     rng = random.Random(2)
     for n in (0, 1, 63, 64, 65, 1000):

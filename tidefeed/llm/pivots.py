@@ -6,6 +6,9 @@ pairs of pivots that a vector holds, so a list is the vectors with that pair, an
 pair of vectors counts in the first list that they share. Every list is
 compared as a whole, in blocks; a list above ``block`` vectors is dealt out as a
 triangle of block pairs over many tasks.
+
+No two pivots lie close to each other: in a large group of near vectors, many pivots
+would be all but equally near to each member, and which of them are nearest chance.
 """
 
 from __future__ import annotations
@@ -23,6 +26,9 @@ from pyspark.sql import functions as F
 from tidefeed.llm.components import components, unite
 from tidefeed.llm.storage import cut, ship
 
+#: Of pivots with so large a cosine only one is kept.
+CLOSE = 0.8
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64)
@@ -34,10 +40,18 @@ def pivot_count(vectors: int) -> int:
 
 
 def choose_pivots(distinct: DataFrame, n: int) -> np.ndarray:
-    """The n vectors of the smallest key: a sample of bounded size, the same at every run."""
+    """The n vectors of the smallest key, without those CLOSE to an earlier one: a sample of bounded size, the same at every run."""
     rows = distinct.orderBy("key").limit(n).select("vector").collect()
     found = np.array([r[0] for r in rows], np.float64)
-    return found / np.linalg.norm(found, axis=1, keepdims=True) if len(found) else found
+    if not len(found):
+        return found
+    found /= np.linalg.norm(found, axis=1, keepdims=True)
+    free, kept = np.ones(len(found), bool), []
+    for i in range(len(found)):
+        if free[i]:
+            kept.append(i)
+            free &= found @ found[i] < CLOSE
+    return found[kept]
 
 
 def _listed(distinct: DataFrame, pivots: np.ndarray, nearest: int) -> DataFrame:
