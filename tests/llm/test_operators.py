@@ -184,6 +184,15 @@ def test_clauses():
     assert weight("I will hurt you") > 0 == weight("it will hurt")
 
 
+@pytest.mark.parametrize("words", [{"moron": 4.0}, {}])
+def test_threats_are_parsed(words):
+    lexicon = toxicity.Lexicon(words, {})
+    measured = lambda t: toxicity.features(t, lexicon, lexicon.automaton())
+    for text in ("I will kill you", "ich werde dich töten"):
+        assert measured(text)[0] == 1.0 and measured(text)[2] > 0
+    assert measured("a fine day") == measured("it will hurt") == [0.0] * toxicity.N_FEATURES
+
+
 def test_forest_and_features_agree(spark):
     rng = secret_scan.random.Random(77)
     made = [secret_scan._finding(rng) for _ in range(300)]

@@ -8,7 +8,8 @@ is scored by its matched clauses, not by its words.
 
 The weights are learned: a word, or a stem that begins several words, becomes an
 insult by how much likelier it is in toxic training documents. Only documents in
-which an Aho-Corasick automaton finds a lexicon entry are parsed.
+which an Aho-Corasick automaton finds a lexicon entry or a threat are parsed: no other
+can match the grammar.
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ class Lexicon:
 
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
-        for w in {*self.words, *self.stems}:
+        for w in {*self.words, *self.stems, *THREATS}:
             found.add_word(w, w)
         found.make_automaton()
         return found
@@ -133,7 +134,7 @@ ROWS = 500
 
 def features(text: str, lexicon: Lexicon, automaton: ahocorasick.Automaton) -> list[float]:
     low = text.lower()
-    if not len(automaton) or next(automaton.iter(low), None) is None:
+    if next(automaton.iter(low), None) is None:
         return [0.0] * N_FEATURES
     found = list(clauses(map(lexicon.symbol, _TOKEN.findall(low))))
     if not found:
