@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
+from tidefeed.sources.scratch import fresh_path
 
-def _folder(spark: SparkSession, label: str) -> str:
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/checkpoints"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class PairImages(StatefulProcessor):
@@ -77,8 +72,8 @@ def run_to_end(stream: DataFrame, label: str, checkpoint: str | None = None, out
     With the ``checkpoint`` and ``out`` of an earlier run it goes on where that one ended, each entry once.
     """
     spark = stream.sparkSession
-    out = out or _folder(spark, f"{label}-out")
-    query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint or _folder(spark, f"{label}-checkpoint")).trigger(availableNow=True).start()
+    out = out or fresh_path(spark, f"{label}-out")
+    query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint or fresh_path(spark, f"{label}-checkpoint")).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
@@ -89,7 +84,7 @@ def as_stream(entries: DataFrame, files: int = 4) -> DataFrame:
     The file source goes by time of writing, so the files are written one after the other in the order of the sequence.
     """
     spark = entries.sparkSession
-    path = _folder(spark, "journal")
+    path = fresh_path(spark, "journal")
     low, high = entries.agg(F.min("seq"), F.max("seq")).first()
     step = ((high or 0) - (low or 0)) // files + 1
     for i in range(files):
