@@ -3,7 +3,7 @@
 Both stars are a grouped minimum and an equi-join, so a node with very many
 neighbours is pre-aggregated before its shuffle and its join can be split by AQE;
 no neighbourhood is ever gathered in one place. Every round is written to the
-shared scratch folder.
+shared scratch folder, and the round before it removed.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefeed.llm.storage import cut
+from tidefeed.llm.storage import cut_at
+from tidefeed.sources.scratch import remove
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,13 +35,15 @@ def components(edges: DataFrame) -> DataFrame:
     empty table. Nodes without an edge aren't in the result.
     """
     seen = None
-    now = cut(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now, path = cut_at(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     while True:
         row = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if tuple(row) == seen or not row[0]:
             break
         seen = tuple(row)
-        now = cut(_small_star(_large_star(now)), "edges")
+        after, new = cut_at(_small_star(_large_star(now)), "edges")
+        remove(edges.sparkSession, path)
+        now, path = after, new
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Where scratch tables go when the session names no shared folder, as in tests on one machine.
-LOCAL_SCRATCH = "/tmp/checkpoints"
+from tidefeed.sources.scratch import fresh_path
 
 _shipped: set[str] = set()
 
@@ -19,21 +19,34 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that the cluster shares; the driver's JVM deletes it when it ends."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{LOCAL_SCRATCH}"
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: ends its lineage and outlives any executor."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return cut_at(df, label)[0]
+
+
+def cut_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As cut(), with the path, which ``remove`` takes once no later plan reads the table."""
+    path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def apart(names: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted names, lengthened until none is among ``names``, in which case doesn't count."""
+    taken, out = {n.lower() for n in names}, []
+    for w in wanted:
+        while w.lower() in taken:
+            w += "_"
+        taken.add(w.lower())
+        out.append(w)
+    return out
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to what is held as Python objects at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
 
 
 def ship(spark: SparkSession) -> None:
