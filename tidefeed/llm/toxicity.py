@@ -7,9 +7,9 @@ is left, more if a target is addressed, and closes at the end of a clause. A doc
 is scored by its matched clauses, not by its words.
 
 The weights are learned: a word, or a stem that begins several words, becomes an
-insult by how much likelier it is in toxic training documents. Only documents in
-which an Aho-Corasick automaton finds a lexicon entry or a threat are parsed: no other
-can match the grammar.
+insult by how much likelier it is in toxic training documents. A clause matches by an
+insult or a threat only, so a document in which an Aho-Corasick automaton finds neither
+has no clause, and isn't parsed (tests hold this against a parse of every text).
 """
 
 from __future__ import annotations
@@ -36,8 +36,9 @@ REPORTS = frozenset("said says called calls wrote writes quoted quotes reported
 THREATS = frozenset("kill hurt destroy beat punch stab shoot burn töten schlagen vernichten verbrennen tuer frapper détruire brûler matar golpear destruir quemar".split())
 
 STEM_SIZES = (4, 5, 6, 7)
-#: A lexicon entry occurs in so many toxic training documents at least, and has such log odds at least.
-LEAST_DOCS, LEAST_ODDS, MOST_ENTRIES = 4, 2.5, 4_000
+#: A lexicon entry occurs in so many and such a share of the toxic training documents at least, and has such log odds at
+#: least. The share bounds the terms that reach the driver: at most 1 / LEAST_SHARE times those of a mean toxic document.
+LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 4, 0.005, 2.5
 THREAT_WEIGHT, TARGET_BONUS, NEGATED, REPORTED, REACH = 0.5, 0.5, 0.25, 0.5, 3
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;:\n]")
@@ -167,8 +168,8 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
 
         return lambda part: part.select("text").mapInArrow(run, "kind string, term string, n long").groupBy("kind", "term").agg(F.sum("n").alias("n"))
 
-    least = max(LEAST_DOCS, n_toxic // 200)
-    often = counted(None)(rows.where("label = 1")).where(F.col("n") >= least).orderBy(F.desc("n"), "kind", "term").limit(50 * MOST_ENTRIES).collect()
+    least = max(LEAST_DOCS, int(n_toxic * LEAST_SHARE))
+    often = counted(None)(rows.where("label = 1")).where(F.col("n") >= least).collect()
     wanted = frozenset((r[0], r[1]) for r in often)
     clean = {(r[0], r[1]): r[2] for r in counted(wanted)(rows.where("label != 1")).collect()}
     odds = {}
@@ -176,8 +177,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         a, b = (k + 0.5) / (n_toxic + 1), (clean.get((kind, term), 0) + 0.5) / (n_clean + 1)
         if (value := log(a / b)) >= LEAST_ODDS:
             odds[kind, term] = value
-    best = sorted(odds, key=lambda x: (-odds[x], x))[:MOST_ENTRIES]
-    return Lexicon({t: odds["w", t] for k, t in best if k == "w"}, {t: odds["s", t] for k, t in best if k == "s"})
+    return Lexicon({t: v for (k, t), v in odds.items() if k == "w"}, {t: v for (k, t), v in odds.items() if k == "s"})
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -246,6 +246,11 @@ def with_score(docs: DataFrame, model: ToxicityModel | None, output: str = "scor
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, bound: int = TRAINING_ROWS) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` for every row of ``docs``; a null id isn't held out."""
+    """``(doc_id, held_out, score, predicted)`` for every row of ``docs``; a null id isn't held out.
+
+    Equal texts get equal scores, repeated rows their own row each; null and empty texts
+    that of a text without a clause. Without labels of both classes every score is 0.5.
+    Other columns are ignored, whatever their names; an empty table gives an empty one.
+    """
     scored = with_score(docs, fit(docs, labels, folds, held, bound), keep=["doc_id"])
     return scored.select("doc_id", F.coalesce(remainder(folds) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
