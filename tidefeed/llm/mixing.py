@@ -3,170 +3,164 @@
 Time runs in slots, each of one block of documents. Block j of a source of weight w
 is released at slot floor(j / w) and is due at slot ceil((j + 1) / w); of the released
 blocks the one that is due first goes next. With weights that add up to one, every
-block meets its window, so after each slot a source has had its share to less than a
-block.
-
-Weights are multiples of 1 / period, so the schedule repeats after ``period`` slots;
-one period is worked out on the driver, whatever the size of the data.
+block meets its window, so after each slot a source has had its share of the weights
+themselves to less than a block: weights are whole numbers over their sum, and nothing
+is rounded on the way.
+
+When each source has had whole blocks only, at the sum of the weights over their common
+divisor, the schedule begins anew. So one task works out one such period, or all slots
+if these are fewer; its size depends on the weights, not on the data. Default weights
+have a sum of about RESOLUTION. Weights with more digits are scheduled as exactly, at
+one step of that task for each slot.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+import math
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-BLOCK, PERIOD, TEMPER = 16, 1000, 0.7
-#: Hexadecimal digits by which a source's documents are dealt over tasks to be ranked.
-DIGITS = 3
+from tidefeed.llm.storage import apart, ship
+
+BLOCK, TEMPER, RESOLUTION = 16, 0.7, 1_000_000
+#: Documents of a source that a task ranks, about.
+RANKED = 10_000
 
 
-def tempered(counts: dict[str, int], power: float = TEMPER) -> dict[str, float]:
-    """Target weights between the sources' own shares (power 1) and equal ones (power 0)."""
+def tempered(counts: dict[str, int], power: float = TEMPER) -> dict[str, int]:
+    """Target weights between the sources' own shares (power 1) and equal ones (power 0), in millionths, 1 at least."""
     total = sum(n**power for n in counts.values())
-    return {s: n**power / total for s, n in counts.items()}
-
-
-def quotas(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Blocks of each source in a period: rounded down, what is left by largest remainder; at least one."""
-    if not weights:
-        return {}
-    period = max(period, 4 * len(weights))
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    got = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (-(exact[s] - int(exact[s])), s))
-    for i in range(period - sum(got.values())):
-        got[order[i % len(order)]] += 1
-    while sum(got.values()) > period:
-        got[max(got, key=lambda s: (got[s], s))] -= 1
-    return got
-
-
-def one_period(quota: dict[str, int]) -> list[str]:
-    """The source of each slot: earliest deadline first among released blocks; ties go by name."""
-    period = sum(quota.values())
-    waiting = [(0, s, 0) for s in sorted(quota)]  # release, source, block
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    out = []
-    for t in range(period):
+    return {s: max(1, math.floor(n**power / total * RESOLUTION)) for s, n in counts.items()}
+
+
+def whole(weights: dict[str, float | Fraction]) -> dict[str, int]:
+    """The same proportions in whole numbers, exactly; a float counts as its shortest decimal."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    if any(w <= 0 for w in exact.values()):
+        raise ValueError("weights are positive")
+    scale = math.lcm(*(w.denominator for w in exact.values())) if exact else 1
+    return {s: int(w * scale) for s, w in exact.items()}
+
+
+def _due(j: int, w: int, total: int) -> int:
+    return -(-(j + 1) * total // w)
+
+
+def earliest_first(weights: list[int], slots: int) -> Iterator[tuple[int, int]]:
+    """(source, block) of each slot: of the released blocks the one that is due first; ties go by place."""
+    total = sum(weights)
+    waiting = [(0, i, 0) for i in range(len(weights))]  # release, source, block
+    ready: list[tuple[int, int, int]] = []
+    for t in range(slots):
         while waiting and waiting[0][0] <= t:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * period // quota[s]), s, j))
-        _, s, j = heapq.heappop(ready)
-        out.append(s)
-        if j + 1 < quota[s]:
-            heapq.heappush(waiting, ((j + 1) * period // quota[s], s, j + 1))
-    return out
-
-
-@dataclass
-class Schedule:
-    """Which slot a block of a source has, and how many slots until each source has been through once."""
-
-    quota: dict[str, int]
-    slots: dict[str, list[int]]
-    period: int
-    horizon: int
-    blocks: dict[str, int]
-
-    @classmethod
-    def plan(cls, counts: dict[str, int], weights: dict[str, float], block: int, period: int = PERIOD) -> Schedule:
-        quota = quotas({s: weights[s] for s in counts}, period)
-        slots: dict[str, list[int]] = {s: [] for s in quota}
-        for t, s in enumerate(one_period(quota)):
-            slots[s].append(t)
-        period = sum(quota.values())
-        slot = lambda s, j: j // quota[s] * period + slots[s][j % quota[s]]
-        horizon = max((slot(s, -(-n // block) - 1) + 1 for s, n in counts.items()), default=0)
-        blocks = {s: horizon // period * quota[s] + sum(x < horizon % period for x in slots[s]) for s in quota} if period else {}
-        return cls(quota, slots, period, horizon, blocks)
-
-
-def _source() -> Column:
-    return F.coalesce(F.col("source"), F.lit(""))
-
-
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD, power: float = TEMPER) -> DataFrame:
+            _, i, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (_due(j, weights[i], total), i, j))
+        _, i, j = heapq.heappop(ready)
+        yield i, j
+        heapq.heappush(waiting, ((j + 1) * total // weights[i], i, j + 1))
+
+
+def horizon(counts: list[int], weights: list[int], block: int) -> int:
+    """The slot by which the last block of every source is due."""
+    total = sum(weights)
+    return max((_due(-(-n // block) - 1, w, total) for n, w in zip(counts, weights, strict=True)), default=0)
+
+
+def schedule(spark: SparkSession, names: list[str], weights: list[int], slots: int) -> DataFrame:
+    """``(source, block, slot)`` of the first ``slots`` slots."""
+    ship(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for n in (n for b in batches for n in b.column(0).to_pylist()):
+            at, going = 0, earliest_first(weights, n)
+            while part := list(islice(going, 100_000)):
+                yield pa.record_batch([pa.array([names[i] for i, _ in part], pa.string()), pa.array([j for _, j in part], pa.int64()), pa.array(range(at, at + len(part)), pa.int64())], names=["source", "block", "slot"])
+                at += len(part)
+
+    return spark.range(slots, slots + 1, 1, 1).mapInArrow(run, "source string, block long, slot long")
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, power: float = TEMPER) -> DataFrame:
     """``docs`` in mixed order, with ``epoch``, ``block``, ``slot`` and ``position`` (columns of these names are replaced).
 
     Goes on until each source has been through once; a source that runs out earlier
     starts anew (epoch 1, 2, ...), so no row is lost and the weights hold throughout.
-    Within a source, rows go by the MD5 of their doc_id. Without ``weights`` they are
-    tempered(); else every source needs one. A null source is the source of the empty
-    name; null ids and equal ones are allowed; no rows, no rows.
+    Within a source, rows go by the MD5 of their doc_id, then by doc_id and a hash of
+    their other columns, so the order is the same at every run; rows equal in all of
+    them change places at will. Without ``weights`` they are tempered(); else every
+    source needs one above 0. A null source is the source of the empty name; null ids
+    and equal ones are allowed; no rows, no rows. Other columns stay, whatever their names.
     """
-    names = ("epoch", "block", "slot", "position")
-    keep = [c for c in docs.columns if c not in names]
-    hidden = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select(*keep, _source().alias("_source"), hidden.alias("_order")).withColumn("_deal", F.substring("_order", 1, DIGITS))
-    dealt = rows.groupBy("_source", "_deal").agg(F.count("*").alias("_n"))
-    counts = {r[0]: r[1] for r in dealt.groupBy("_source").agg(F.sum("_n")).collect()}  # one row for each source
-    plan = Schedule.plan(counts, weights or tempered(counts, power), block, period)
-    before = Window.partitionBy("_source").orderBy("_deal").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.select("_source", "_deal", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(Window.partitionBy("_source", "_deal").orderBy("_order", "doc_id"))
-    ranked = rows.withColumn("_rank", rank).join(starts, ["_source", "_deal"]).withColumn("_rank", F.col("_rank") + F.col("_start") - 1)
     spark = docs.sparkSession
-    of_source = spark.createDataFrame([(s, counts[s], plan.quota[s], plan.blocks[s]) for s in counts], "_source string, _count long, _quota long, _blocks long")
-    of_slot = spark.createDataFrame([(s, k, t) for s, own in plan.slots.items() for k, t in enumerate(own)], T.StructType.fromDDL("_source string, _k long, _slot long"))
-    last = F.expr(f"(_blocks * {block} - 1 - _rank) div _count")
-    out = ranked.join(F.broadcast(of_source), "_source").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    out = out.withColumn("_at", F.col("_rank") + F.col("epoch") * F.col("_count")).withColumn("block", F.expr(f"_at div {block}")).withColumn("_k", F.expr("block % _quota"))
-    out = out.join(F.broadcast(of_slot), ["_source", "_k"])
-    slot = F.expr(f"block div _quota * {plan.period} + _slot")
-    return out.withColumn("slot", slot).select(*keep, "epoch", "block", "slot", (F.col("slot") * block + F.expr(f"_at % {block}")).alias("position"))
+    keep = [c for c in docs.columns if c not in ("epoch", "block", "slot", "position")]
+    own, order, tie, deal, rank, start, count, most, turn = apart([*docs.columns, "epoch", "block", "slot", "position"], *(f"_{x}" for x in ("source", "order", "tie", "deal", "rank", "start", "count", "most", "turn")))
+    hidden = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if f.name in keep and "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    rows = docs.select(*(F.col(f"`{c}`") for c in keep), F.coalesce(F.col("source"), F.lit("")).alias(own), hidden.alias(order), F.xxhash64(*hashed).alias(tie))
+    # One row for each source.
+    counts = dict(sorted((r[0], r[1]) for r in rows.groupBy(own).count().collect()))
+    wanted = whole(weights) if weights else tempered(counts, power)
+    names, whole_weights = list(counts), [wanted[s] for s in counts]
+    slots = horizon(list(counts.values()), whole_weights, block)
+    # Hexadecimal digits by which a source's documents are dealt over tasks to be ranked.
+    digits = max(1, math.ceil(math.log(max(counts.values(), default=1) / RANKED + 1, 16)))
+    rows = rows.withColumn(deal, F.substring(order, 1, digits))
+    dealt = rows.groupBy(own, deal).agg(F.count("*").alias(count))
+    before = Window.partitionBy(own).orderBy(deal).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.select(own, deal, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(start))
+    place = F.row_number().over(Window.partitionBy(own, deal).orderBy(order, "doc_id", tie))
+    ranked = rows.withColumn(rank, place).join(starts, [own, deal]).withColumn(rank, F.col(rank) + F.col(start) - 1)
+    total, divisor = sum(whole_weights), max(1, math.gcd(*whole_weights))
+    period = total // divisor
+    # No source has more blocks than its share of all slots, rounded up.
+    sizes = [(s, n, -(-w * slots // total) * block, w // divisor) for (s, n), w in zip(counts.items(), whole_weights, strict=True)]
+    of_source = spark.createDataFrame(sizes, T.StructType().add(own, "string").add(count, "long").add(most, "long").add(turn, "long"))
+    turns = ranked.join(F.broadcast(of_source), own)
+    turns = turns.withColumn("epoch", F.explode(F.expr(f"CASE WHEN {rank} < {most} THEN sequence(0L, ({most} - 1 - {rank}) div {count}) ELSE array(0L) END")))
+    turns = turns.withColumn(rank, F.col(rank) + F.col("epoch") * F.col(count)).withColumn("block", F.expr(f"{rank} div {block}")).withColumn(start, F.expr(f"block % {turn}"))
+    of_slot = schedule(spark, names, whole_weights, min(slots, period)).select(F.col("source").alias(own), F.col("block").alias(start), F.col("slot").alias(order))
+    out = turns.drop(order).join(of_slot, [own, start]).withColumn("slot", F.expr(f"block div {turn} * {period} + {order}")).where(F.col("slot") < slots)
+    return out.select(*(F.col(f"`{c}`") for c in keep), "epoch", "block", "slot", (F.col("slot") * block + F.expr(f"{rank} % {block}")).alias("position"))
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
-    """The rows of mix() so that files, and rows within files, follow the schedule."""
+    """The rows of mix() so that files, and rows within files, follow the schedule. Nothing is dropped; no rows, no rows."""
     return mixed.repartitionByRange("position").sortWithinPartitions("position")
 
 
 ORACLE = """
 WITH RECURSIVE sizes AS (
   SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1
-), exact AS (
-  SELECT source, n, pow(n, {power}) / sum(pow(n, {power})) OVER () * {period} AS x FROM sizes
-), floors AS (
-  SELECT *, greatest(1, CAST(floor(x) AS BIGINT)) AS q0, row_number() OVER (ORDER BY x - floor(x) DESC, source) AS i FROM exact
-), quota AS (
-  SELECT source, n, q0 + (i <= {period} - (SELECT sum(q0) FROM floors))::BIGINT AS q, row_number() OVER (ORDER BY source) AS id FROM floors
+), weighted AS (
+  SELECT source, n, greatest(1, CAST(floor(pow(n, {power}) / sum(pow(n, {power})) OVER () * {resolution}) AS BIGINT)) AS w, row_number() OVER (ORDER BY source) AS id FROM sizes
 ), lists AS (
-  SELECT list(q ORDER BY id) AS qs FROM quota
+  SELECT list(w ORDER BY id) AS ws, CAST(sum(w) AS BIGINT) AS total, max((((n + {block} - 1) // {block}) * (SELECT sum(w) FROM weighted)::BIGINT + w - 1) // w) AS slots FROM weighted
 ), edf(t, done, pick) AS (
-  SELECT CAST(-1 AS BIGINT), list_transform(qs, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM lists
+  SELECT CAST(-1 AS BIGINT), list_transform(ws, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM lists
   UNION ALL
   SELECT t + 1, list_transform(done, lambda d, i: d + (i = p)::BIGINT), p
   FROM (
-    SELECT t, done, list_min(list_transform(range(1, len(qs) + 1), lambda i:
-             CASE WHEN done[i] < qs[i] AND done[i] * {period} // qs[i] <= t + 1
-                  THEN ((done[i] + 1) * {period} + qs[i] - 1) // qs[i] * 100000 + i END)) % 100000 AS p
-    FROM edf, lists WHERE t + 1 < {period}
+    SELECT t, done, list_min(list_transform(range(1, len(ws) + 1), lambda i:
+             CASE WHEN done[i] * total // ws[i] <= t + 1 THEN ((done[i] + 1) * total + ws[i] - 1) // ws[i] * 100000 + i END)) % 100000 AS p
+    FROM edf, lists WHERE t + 1 < slots
   )
 ), slots AS (
-  SELECT pick AS id, t AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM edf WHERE t >= 0
-), horizon AS (
-  SELECT max(((n + {block} - 1) // {block} - 1) // q * {period} + slot) + 1 AS h
-  FROM quota JOIN slots ON slots.id = quota.id AND k = ((n + {block} - 1) // {block} - 1) % q
-), blocks AS (
-  SELECT quota.id, source, n, q, h // {period} * q + sum((slot < h % {period})::BIGINT)::BIGINT AS b
-  FROM quota JOIN slots ON slots.id = quota.id CROSS JOIN horizon GROUP BY quota.id, source, n, q, h
+  SELECT pick AS id, t AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS block FROM edf WHERE t >= 0
 ), ranked AS (
   SELECT doc_id, source AS own, coalesce(source, '') AS source,
          row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS r
   FROM documents
-), dealt AS (
-  SELECT doc_id, own, id, q, unnest(range(0, (b * {block} - 1 - r) // n + 1)) AS epoch, r, n FROM ranked JOIN blocks USING (source)
-), turns AS (
-  SELECT *, (r + epoch * n) // {block} AS block FROM dealt
+), places AS (
+  SELECT slots.id, n, block, slot, unnest(range(0, {block})) AS k, source FROM slots JOIN weighted ON weighted.id = slots.id
 )
-SELECT doc_id, own AS source, epoch, block, block // q * {period} + slot AS slot,
-       (block // q * {period} + slot) * {block} + (r + epoch * n) % {block} AS position
-FROM turns JOIN slots ON slots.id = turns.id AND slots.k = block % q
+SELECT doc_id, own AS source, (block * {block} + k) // n AS epoch, block, slot, slot * {block} + k AS position
+FROM places JOIN ranked ON ranked.source = places.source AND ranked.r = (block * {block} + k) % n
 """

@@ -64,6 +64,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_sharding": sharding.ORACLE.format(n=len(SHARDS), size=sharding.table_size(len(SHARDS))),
-        "op6_mixing": mixing.ORACLE.format(power=mixing.TEMPER, period=mixing.PERIOD, block=mixing.BLOCK),
+        "op6_mixing": mixing.ORACLE.format(power=mixing.TEMPER, resolution=mixing.RESOLUTION, block=mixing.BLOCK),
         "op9_secrets": secret_scan.oracle(),
     }
