@@ -13,6 +13,7 @@ link is lost.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidefeed.llm.components import components, unite
-from tidefeed.llm.storage import cut, ship
+from tidefeed.llm.storage import apart, cut, ship, sliced
 
 SEED = 42
 #: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, a generator of the Golay code.
@@ -61,7 +62,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             fps = [_signed(fingerprint(t, words)) for t in b.column(1).to_pylist()]
             yield pa.record_batch([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
@@ -199,12 +200,239 @@ def hex_fingerprint(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def keep_first(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, one row for each such id.
+# Similar texts: longer fingerprints, for similarities that 64 bits can't tell apart.
+
+#: Words of a long fingerprint, and the blocks of LENGTH of its bits that are covered each by the code.
+LONG, BLOCKS = 4, 16
+#: Bits in which a block of two similar texts may differ to be found there.
+BLOCK_BITS = 1
+#: Residents of an anchor above which they are dealt over several tasks.
+MOST_RESIDENTS = 20_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _spread(h: np.ndarray) -> np.ndarray:
+    """Another 64 bits from 64."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def shingles(text: bytes | None, words: int) -> np.ndarray:
+    """A hash of each word shingle, repeats included; of the whole sequence if it is shorter; none without words."""
+    tokens = (text or b"").lower().split()
+    if not tokens:
+        return np.empty(0, np.uint64)
+    line, ends = b" ".join(tokens), np.cumsum([len(w) + 1 for w in tokens])
+    n = max(1, len(tokens) - words + 1)
+    stops = (ends[min(words, len(tokens)) - 1 :] - 1).tolist()
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(line[a:b]) for a, b in zip([0, *ends[: n - 1].tolist()], stops, strict=True)), np.uint64, n)
+
+
+def long_fingerprint(text: bytes | None, words: int = 5) -> np.ndarray:
+    """LONG words of majority bits over the word shingles; zeros without words."""
+    every = shingles(text, words)
+    counts, n = np.zeros(64 * LONG, np.int64), len(every)
+    for at in range(0, n, 16320):
+        h = every[at : at + 16320]
+        each = _spread(h[:, None] + _STEP * np.arange(1, LONG + 1, dtype=np.uint64))
+        bits = np.unpackbits(each.view(np.uint8), axis=1, bitorder="little")
+        counts += np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0, dtype=np.uint8).sum(0, dtype=np.int64)
+    return np.packbits(2 * counts > n, bitorder="little").view(np.uint64)
+
+
+def bits_apart(similarity: float) -> tuple[int, int]:
+    """Of fingerprints of texts with so large a share of common shingles: bits in which hardly any more similar, and hardly any less similar ones differ by more, by fewer.
+
+    In the mean it is their angle's share of a half turn; two deviations are given to each side.
+    """
+    part = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    mean, deviation = 64 * LONG * part, math.sqrt(64 * LONG * part * (1 - part))
+    return int(mean - 2 * deviation), int(mean + 2 * deviation)
+
+
+@lru_cache
+def _block_places() -> np.ndarray:
+    """For each block the places of its bits: disjoint ones as far as they go, then anew in another order."""
+    rng, a_turn = np.random.default_rng(SEED), 64 * LONG // LENGTH
+    turns = [rng.permutation(64 * LONG)[: a_turn * LENGTH].reshape(a_turn, LENGTH) for _ in range(-(-BLOCKS // a_turn))]
+    return np.concatenate(turns)[:BLOCKS]
+
+
+def _names(fps: np.ndarray) -> np.ndarray:
+    """A number for each long fingerprint, as a signed long."""
+    h = np.zeros(len(fps), np.uint64)
+    for k in range(LONG):
+        h = _spread(h + _STEP + fps[:, k])
+    return h.view(np.int64)
+
+
+_LONG_DDL = ", ".join(f"f{k} long" for k in range(LONG))
+
 
-    Rows with a null id are kept as they are: they can't be named as copies.
+def long_fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
+    """``(doc_id, text_key, node, f0, f1, ...)`` of every row; ``text_key`` and ``node`` name the text and the fingerprint."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):
+            fps = np.array([long_fingerprint(t, words) for t in b.column(2).to_pylist()])
+            columns = [pa.array(fps[:, k].view(np.int64)) for k in range(LONG)]
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(_names(fps)), *columns], names=["doc_id", "text_key", "node", *(f"f{k}" for k in range(LONG))])
+
+    source = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
+    return source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, node long, {_LONG_DDL}")
+
+
+def _long_to_anchors(fps: DataFrame, parts: dict[int, int], home_only: bool = False) -> DataFrame:
+    """``(place, f0, ...)``: a copy of each fingerprint at each anchor of each block; an even place is where it is resident.
+
+    Residents of an anchor with several ``parts`` are dealt over them, and every copy goes to all.
+    """
+    many = np.ones(BLOCKS << 12, np.int64)
+    for at, n in parts.items():
+        many[at] = n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches, 1000):
+            x = np.stack([c.to_numpy(zero_copy_only=False).view(np.uint64) for c in b.columns], axis=1)
+            bits = np.unpackbits(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1), axis=1, bitorder="little")
+            mine = (_names(x).view(np.uint64) >> np.uint64(20)).astype(np.int64)
+            for k, places in enumerate(_block_places()):
+                block = bits[:, places].astype(np.uint32) @ (np.uint32(1) << np.arange(LENGTH, dtype=np.uint32))
+                who, anchor, excess = _copies(block, 0 if home_only else BLOCK_BITS)
+                at = (k << 12) + anchor.astype(np.int64)
+                n = many[at]
+                row = np.repeat(np.arange(len(at)), n)
+                part = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                resident = (excess[row] == 0) & (mine[who[row]] % n[row] == part)
+                place = ((part << 16) + at[row]) * 2 + ~resident
+                yield pa.record_batch([pa.array(place), *(pa.array(x[who[row], w].view(np.int64)) for w in range(LONG))], names=["place", *(f"f{w}" for w in range(LONG))])
+
+    return fps.select(*(f"f{k}" for k in range(LONG))).mapInArrow(run, f"place long, {_LONG_DDL}")
+
+
+def _long_forest(x: np.ndarray, resident: np.ndarray, sure: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Residents against all copies at one anchor, by names: (u, v, sure) of a forest of pairs within ``sure`` bits, and of one of those within ``most``.
+
+    Half of the bits settle most pairs.
+    """
+    names = _names(x)
+    order = np.argsort(names, kind="stable")
+    x, names, own = x[order], names[order], np.flatnonzero(resident[order])
+    label, perhaps = np.arange(len(x)), np.arange(len(x))
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    step = max(1, (BLOCK >> 1) // len(x))
+    for lo in range(0, len(own), step):
+        part = own[lo : lo + step]
+        half = sum(np.bitwise_count(x[part, k][:, None] ^ x[None, :, k]) for k in range(LONG // 2))
+        a, b = np.nonzero(half <= most)
+        a = part[a]
+        bits = np.bitwise_count(x[a] ^ x[b]).sum(1, dtype=np.int64)
+        near = (bits <= sure) & (a != b)
+        unite(label, a[near], b[near])
+        unite(perhaps, a[near], b[near])
+        near = (bits > sure) & (bits <= most)
+        a, b = a[near], b[near]
+        while len(a):  # of the pairs that join two classes one each, until none does
+            high, low = np.maximum(perhaps[a], perhaps[b]), np.minimum(perhaps[a], perhaps[b])
+            a, b, high = (v[high != low] for v in (a, b, high))
+            _, first = np.unique(high, return_index=True)
+            out.append((names[a[first]], names[b[first]]))
+            unite(perhaps, a[first], b[first])
+    moved = label != np.arange(len(label))
+    u, v = (np.concatenate([c, *more]) for c, more in zip((names[moved], names[label[moved]]), zip(*out, strict=True) if out else ((), ()), strict=True))
+    return u, v, np.arange(len(u)) < moved.sum()
+
+
+def _long_compare(copies: DataFrame, sure: int, most: int) -> DataFrame:
+    """``(u, v, sure)`` between names of fingerprints from every anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for place, x in _by_anchor(batches):
+            resident = place % 2 == 0
+            if resident.any() and len(x) > 1:
+                found = _long_forest(x, resident, sure, most)
+                if len(found[0]):
+                    yield pa.record_batch(list(map(pa.array, found)), names=["u", "v", "sure"])
+
+    return copies.repartition(F.expr("place div 2")).sortWithinPartitions("place").mapInArrow(run, "u long, v long, sure boolean")
+
+
+def _by_anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, fingerprints) of one anchor after the other, from rows in the order of their places."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        place = b.column(0).to_numpy(zero_copy_only=False)
+        x = np.stack([c.to_numpy(zero_copy_only=False).view(np.uint64) for c in b.columns[1:]], axis=1)
+        edges = [0, *(np.flatnonzero(np.diff(place // 2)) + 1).tolist(), len(place)]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            if held and held[-1][0][-1] // 2 != place[lo] // 2:
+                yield tuple(map(np.concatenate, zip(*held, strict=True)))
+                held = []
+            held.append((place[lo:hi], x[lo:hi]))
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
+def _verified(docs: DataFrame, prints: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Those of ``pairs(u, v)`` whose texts have so large a share of common shingles; one text stands for a fingerprint."""
+    asked = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "node")
+    witness = prints.join(asked, "node").groupBy("node").agg(F.min("text_key").alias("text_key"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):
+            sets = [np.unique(shingles(t, words)).view(np.int64) for t in b.column(1).to_pylist()]
+            yield pa.record_batch([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
+
+    texts = docs.select(F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text")).join(witness, "text_key").dropDuplicates(["node"])
+    sets = cut(texts.select("node", "text").mapInArrow(run, "node long, hashes array<long>"), "shingles")
+    both = pairs.join(sets.toDF("u", "of_u"), "u").join(sets.toDF("v", "of_v"), "v")
+    common = F.size(F.array_intersect("of_u", "of_v"))
+    return both.where(common >= similarity * (F.size("of_u") + F.size("of_v") - common)).select("u", "v")
+
+
+def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8, most_residents: int = MOST_RESIDENTS) -> DataFrame:
+    """``(doc_id, text_key, node, root)`` for every row of ``docs(doc_id, text, ...)``: the group of similar texts it belongs to.
+
+    Fingerprints of 256 bits are compared if one of 16 blocks of 23 bits differs in
+    BLOCK_BITS or less. Texts whose fingerprints differ so little that texts of a lesser
+    ``similarity``, the share of common shingles, hardly do are linked; those that differ by up to
+    what texts of that similarity hardly exceed are linked if their shingles say so, a
+    spanning forest of such pairs being counted out at each anchor. Groups are what links connect,
+    and a root is one of a group's nodes. ``text_key`` is a hash of the text; null and empty
+    texts have the fingerprint zero, linked like any other. Equal texts have one node. Null
+    and equal ids are allowed; other columns are ignored; no rows, no rows.
+    """
+    prints = cut(long_fingerprints(docs, words), "long-fingerprints")
+    distinct = cut(prints.select(*(f"f{k}" for k in range(LONG))).distinct(), "distinct")
+    home = _long_to_anchors(distinct, {}, home_only=True)
+    # At most 16 * 4096 anchors, so at most as many rows.
+    hot = home.groupBy(F.expr("place div 2").alias("at")).count().where(F.col("count") > most_residents).collect()
+    parts = {r["at"]: -(-r["count"] // most_residents) for r in hot}
+    pairs = cut(_long_compare(_long_to_anchors(distinct, parts), *bits_apart(similarity)).distinct(), "pairs")
+    sure = pairs.where("sure").select("u", "v")
+    first = components(sure)
+    root = lambda c: first.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    open_pairs = pairs.where("NOT sure").join(root("u"), "u", "left").join(root("v"), "v", "left")
+    open_pairs = cut(open_pairs.where("coalesce(root_u, u) != coalesce(root_v, v)").select("u", "v"), "open-pairs")
+    linked = components(sure.union(_verified(docs, prints, open_pairs, words, similarity)))
+    return prints.select("doc_id", "text_key", "node").join(linked, "node", "left").select("doc_id", "text_key", "node", F.coalesce("root", "node").alias("root"))
+
+
+def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of ``docs`` for each group of similar(): of its root's texts the one of the smallest doc_id.
+
+    Rows with a null id are kept as they are: they can't be named as copies. An id that
+    stands for different texts is a document for each; rows equal in id and text are
+    one. Columns stay, whatever their names; no rows, no rows.
     """
-    found = near_duplicates(docs.where("doc_id is not null"), words, bits)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    (key,) = apart(docs.columns, "_text_key")
+    named = docs.where("doc_id IS NOT NULL")
+    roots = similar(named, words, similarity).where("node = root")
+    first = roots.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("x")).select("x.doc_id", F.col("x.text_key").alias(key))
+    kept = named.withColumn(key, F.xxhash64("text")).join(first, ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key]).drop(key)
+    return kept.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
