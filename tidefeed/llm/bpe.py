@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefeed.llm.storage import ship
+from tidefeed.llm.storage import apart, ship, sliced
 
 #: Determinised steps and cached pieces that one worker keeps; beyond it, it forgets and works them out again.
 STEPS, PIECES, LONGEST_PIECE = 500_000, 250_000, 64
@@ -304,11 +304,22 @@ def _codec(name: str, rank_file: bytes, pattern: str, steps: int = STEPS, pieces
     """This worker's codec, compiled once."""
     if name not in _codecs:
         _codecs.clear()
-        gc.disable()  # the caches are millions of small tuples without cycles, which the collector would walk again and again
         _codecs[name] = Codec(load_ranks(rank_file.splitlines()), pattern, steps, pieces)
     return _codecs[name]
 
 
+def _uncollected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, with the garbage collector off until the last: the caches are millions of small tuples without cycles, which it would walk again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield from batches
+    finally:
+        gc.freeze()
+        if was:
+            gc.enable()
+
+
 def _shared(df: DataFrame, path: str, pattern: str):
     ship(df.sparkSession)
     with open(path, "rb") as f:
@@ -316,25 +327,27 @@ def _shared(df: DataFrame, path: str, pattern: str):
     return hashlib.sha256(data + pattern.encode()).hexdigest(), df.sparkSession.sparkContext.broadcast(data)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", output: str = "ids", keep: Sequence[str] | None = None, steps: int = STEPS, pieces: int = PIECES) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, column: str = "text", output: str = "ids", keep: Sequence[str] | None = None, steps: int = STEPS, pieces: int = PIECES, decoded: str | None = None) -> DataFrame:
     """``docs`` with the array ``output`` of token ids of a string column; ``path``: the driver's rank file.
 
     ``keep`` names the columns returned beside it (None: all). ``steps`` and ``pieces``
-    bound what a worker keeps in memory; the ids don't depend on them. Null counts as empty: no
-    ids. Bytes that aren't UTF-8 become U+FFFD first. A column named like ``output`` is
+    bound what a worker keeps in memory; the ids don't depend on them. ``decoded`` names a
+    column for the SHA-256 of the text that the ids decode to. Null counts as empty: no ids. Bytes that aren't UTF-8 become U+FFFD first. A column named like ``output`` is
     replaced; no rows, no rows.
     """
     name, shared = _shared(docs, path, pattern)
     name += f" {steps} {pieces}"
-    kept = docs.select(*[c for c in (docs.columns if keep is None else keep) if c not in (output, "_text")])
-    source = docs.withColumn("_text", F.col(column).cast("binary")).select(*kept.columns, "_text")
+    kept = docs.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep) if c not in (output, decoded)])
+    source = docs.select(*(F.col(f"`{c}`") for c in kept.columns), F.col(column).cast("binary").alias(*apart(docs.columns, "_text")))
     schema = kept.schema.add(output, T.ArrayType(T.IntegerType()))
+    schema = schema.add(decoded, "string") if decoded else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, shared.value, pattern, steps, pieces)
-        for b in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
-            ids = pa.array([codec.encode((t or b"").decode("utf-8", "replace")) for t in b.columns[-1].to_pylist()], pa.list_(pa.int32()))
-            yield pa.record_batch([*b.columns[:-1], ids], names=schema.names)
+        for b in _uncollected(sliced(batches, ROWS)):
+            ids = [codec.encode((t or b"").decode("utf-8", "replace")) for t in b.columns[-1].to_pylist()]
+            back = [pa.array([_decoded_hash(codec, x) for x in ids], pa.string())] if decoded else []
+            yield pa.record_batch([*b.columns[:-1], pa.array(ids, pa.list_(pa.int32())), *back], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -350,7 +363,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, shared.value, pattern)
-        for b in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
+        for b in _uncollected(sliced(batches, ROWS)):
             n, ids_hash, text_hash = [], [], []
             for t in b.column(1).to_pylist():
                 ids = codec.encode((t or b"").decode("utf-8", "replace"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefeed.llm.storage import ship
+from tidefeed.llm.storage import apart, ship, sliced
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH = 64
@@ -155,12 +155,13 @@ def to_media(docs: DataFrame, column: str = "text") -> DataFrame:
     is replaced. No rows, no rows.
     """
     ship(docs.sparkSession)
-    docs = docs.drop("n_bytes", "media", "_payload")
-    plain = docs.withColumn("_payload", F.coalesce(F.col(column).cast("binary"), F.lit(b"")))
-    schema = docs.schema.add("n_bytes", "long").add("media", "binary")
+    payload = F.coalesce(F.col(column).cast("binary"), F.lit(b""))
+    kept = docs.drop("n_bytes", "media")
+    plain = docs.withColumn(*apart(docs.columns, "_payload"), payload).drop("n_bytes", "media")
+    schema = kept.schema.add("n_bytes", "long").add("media", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             data = b.columns[-1].to_pylist()
             new = [pa.array([len(x) for x in data], pa.int64()), pa.array([encode_png(pad(x)) for x in data], pa.binary())]
             yield pa.record_batch([*b.columns[:-1], *new], names=schema.names)
@@ -169,15 +170,19 @@ def to_media(docs: DataFrame, column: str = "text") -> DataFrame:
 
 
 def digests(media: DataFrame) -> DataFrame:
-    """``(doc_id, n_bytes, payload_bytes, ..., feature)`` read back from the column ``media`` of to_media()."""
+    """``(doc_id, n_bytes, payload_bytes, ..., feature)`` read back from the column ``media`` of to_media().
+
+    A row for each row, equal ones for equal ones; null ids are allowed, other columns
+    ignored; a null or damaged image raises DamagedMedia; no rows, no rows.
+    """
     kind = media.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             rows = []
             for stored in b.column(2).to_pylist():
-                image = decode_png(stored)
+                image = decode_png(stored or b"")
                 payload = image.tobytes()
                 rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-WIDTH:]), len(stored), hashlib.sha256(stored).hexdigest(), cosine_hash(image)))
             columns = list(zip(*rows, strict=True)) or [()] * 6

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidefeed.llm.labelled import TRAINING_ROWS, remainder, training_labels
-from tidefeed.llm.storage import cut, ship
+from tidefeed.llm.storage import cut, ship, sliced
 
 FEATURES, RIDGE, FOLDS, SEED = 256, 1e-3, 5, 17
 #: Sums of the normal equations that reach the driver.
@@ -56,7 +56,7 @@ def statistics_table(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             rows = [statistics(t or b"") for t in b.column(1).to_pylist()]
             yield pa.record_batch([b.column(0), pa.array(rows, pa.list_(pa.float32()))], names=["doc_id", "stats"])
 
@@ -85,7 +85,10 @@ class Kernel:
 
 
 def isotonic(score: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: increasing (mean score, mean label) of the pools; equal scores are one point."""
+    """Pool adjacent violators: (mean score, mean label) of the pools; equal scores are one point.
+
+    Labels are drawn to a half by one row's weight, and never fall as the score rises.
+    """
     at, back = np.unique(score, return_inverse=True)
     weight = np.bincount(back).astype(float)
     pools: list[list[float]] = []  # weight, sum of labels, sum of scores
@@ -95,7 +98,7 @@ def isotonic(score: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarr
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
     table = np.array(pools)
-    return table[:, 2] / table[:, 0], (table[:, 1] + 0.5) / (table[:, 0] + 1)
+    return table[:, 2] / table[:, 0], np.maximum.accumulate((table[:, 1] + 0.5) / (table[:, 0] + 1))
 
 
 @dataclass
@@ -106,7 +109,7 @@ class QualityModel:
     level: np.ndarray
 
     def score(self, stats: np.ndarray) -> np.ndarray:
-        return np.clip(np.interp(self.kernel(stats) @ self.weights, self.at, np.maximum.accumulate(self.level)), 0, 1)
+        return np.clip(np.interp(self.kernel(stats) @ self.weights, self.at, self.level), 0, 1)
 
 
 def fit(rows: DataFrame) -> QualityModel | None:
@@ -153,7 +156,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
     Learns from the labelled rows whose crc32(doc_id) mod ``folds`` isn't ``held``,
     ``bound`` of them at most. Null and empty texts have zero statistics and are scored
     like any other; a null id isn't held out. Without labels of both classes all
-    scores are 0.5. Equal texts get equal scores; no rows, no rows.
+    scores are 0.5. Equal texts get equal scores; other columns are ignored; no rows, no rows.
     """
     stats = cut(statistics_table(docs), "statistics")
     known = training_labels(labels, "quality", remainder(folds) != held, bound)

@@ -13,6 +13,9 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidefeed.llm.storage import apart
 
 #: Slots for each shard, at least.
 SLOTS_PER_SHARD = 100
@@ -57,20 +60,27 @@ def slot(key: Column, size: int) -> Column:
 def place(docs: DataFrame, shards: list[str], key: str = "doc_id") -> DataFrame:
     """``docs`` with the columns ``slot`` and ``shard``, those of such names replaced.
 
-    Rows with equal keys go together; a null key is placed as an empty text. No rows, no rows.
+    Rows with equal keys go together; a null key is placed as an empty text. Other
+    columns stay, whatever their names. No rows, no rows.
     """
     table = fill_table(shards)
     spark = docs.sparkSession
-    lookup = spark.createDataFrame(list(enumerate(table)), "slot long, _shard int")
+    keep = [c for c in docs.columns if c not in ("slot", "shard")]
+    at, number = apart([*docs.columns, "slot", "shard"], "_slot", "_number")
+    lookup = spark.createDataFrame(list(enumerate(table)), T.StructType().add(at, "long").add(number, "integer"))
     names = F.array(*map(F.lit, shards))
-    placed = docs.drop("slot", "shard").withColumn("slot", slot(F.col(key), len(table)))
-    return placed.join(F.broadcast(lookup), "slot").select(*docs.drop("slot", "shard").columns, "slot", F.element_at(names, F.col("_shard") + 1).alias("shard"))
+    placed = docs.withColumn(at, slot(F.col(f"`{key}`"), len(table))).join(F.broadcast(lookup), at)
+    return placed.select(*(F.col(f"`{c}`") for c in keep), F.col(at).alias("slot"), F.element_at(names, F.col(number) + 1).alias("shard"))
 
 
 def write_shards(placed: DataFrame, path: str, files: int = 1) -> None:
-    """One folder for each shard, of ``files`` files at most; a shard's rows are dealt over them."""
-    spread = placed.withColumn("_file", F.pmod(F.xxhash64("slot"), F.lit(files)))
-    spread.repartition("shard", "_file").drop("_file").write.partitionBy("shard").parquet(path)
+    """One folder for each shard, of about ``files`` files; the rows of a shard are dealt over them by their slots.
+
+    Every row is written, repeated ones and those of null keys too; no rows, no folders.
+    """
+    (part,) = apart(placed.columns, "_file")
+    spread = placed.withColumn(part, F.pmod(F.xxhash64("slot"), F.lit(files)))
+    spread.repartition("shard", part).drop(part).write.partitionBy("shard").parquet(path)
 
 
 ORACLE = """

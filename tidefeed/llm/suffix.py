@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidefeed.llm.storage import cut, ship
 
@@ -103,9 +104,9 @@ _KEY = ("doc_key", "text_key")
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    return docs.select("doc_id", text.alias("text")).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_key"), F.xxhash64("text").alias("text_key"), "doc_id", "text"
-    )
+    whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))) if whole else F.xxhash64("doc_id")
+    return docs.select("doc_id", text.alias("text")).select(key.alias("doc_key"), F.xxhash64("text").alias("text_key"), "doc_id", "text")
 
 
 def _runs_table(keyed: DataFrame, length: int) -> DataFrame:
