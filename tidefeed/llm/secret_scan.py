@@ -30,12 +30,15 @@ _NAMES = "(?i:passw(?:or)?d|passphrase|pwd|secret|token|credential|api[_-]?key|a
 _LOGIN = f"[a-z][a-z0-9+.-]{{0,10}}://[^/:@{_BLANK}]{{1,64}}:"
 _NAMED = f"[A-Za-z0-9_.-]{{0,40}}{_NAMES}[A-Za-z0-9_]{{0,20}}[\"']?[ ]?[:=][ ]?[\"']?"
 _VALUE = f"[^{_BLANK}\"'<>,;]{{6,}}"
+RUN = "[A-Za-z0-9+/_=-]{16,}"
 CANDIDATE = "|".join(
     [
         "-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----", "eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]*",
-        f"{_LOGIN}[^/@{_BLANK}]{{1,64}}@", f"{_NAMED}{_VALUE}", "[A-Za-z0-9+/_=-]{16,}",
+        f"{_LOGIN}[^/@{_BLANK}]{{1,64}}@", f"{_NAMED}{_VALUE}", RUN,
     ]
 )
+#: Without one of these in a text, its candidates are its RUNs, which are found much faster.
+HINT = f"{_NAMES}[A-Za-z0-9_]{{0,20}}[\"']?[ ]?[:=]|://[^/:@{_BLANK}]{{1,64}}:|-----BEGIN|eyJ"
 PREFIX = f"^({_LOGIN}|{_NAMED}|[A-Za-z][A-Za-z0-9_]{{0,40}}=)[^=]"
 MIXED = "[0-9]|[a-z][A-Z].*[a-z][A-Z]|^-----BEGIN"
 LEFT, RIGHT = 40, 16
@@ -267,6 +270,11 @@ def _one_line(x: str) -> str:
     return f"translate({x}, '\n\r', '  ')"
 
 
+def _fast(by: Callable[[str], str]) -> str:
+    """An expression of the candidate's pattern, with the short one where it says the same."""
+    return f"CASE WHEN text RLIKE {Spark.text(HINT)} THEN {by(Spark.text(CANDIDATE))} ELSE {by(Spark.text(RUN))} END"
+
+
 def _beside(j: str, found: str, parts: str) -> str:
     """A stretch between candidates with the candidate behind it, if there is one."""
     return f"concat(get({parts}, {j}), coalesce(get({found}, {j}), ''))"
@@ -279,8 +287,8 @@ def with_findings(docs: DataFrame, found: str = "_found", findings: str = "findi
     array. Columns of the two names are replaced, others stay; no rows, no rows.
     """
     q = Spark.text
-    docs = docs.drop(found, findings).withColumn(found, F.expr(f"coalesce(regexp_extract_all(text, {q(CANDIDATE)}, 0), array())"))
-    split = f"split(text, {q(CANDIDATE)}, -1)"
+    docs = docs.drop(found, findings).withColumn(found, F.expr(f"coalesce({_fast(lambda x: f'regexp_extract_all(text, {x}, 0)')}, array())"))
+    split = _fast(lambda x: f"split(text, {x}, -1)")
     named = f"transform({found}, (m, i) -> struct(i, m, {Spark.prefix('m')} AS prefix))"
     valued = f"transform({named}, x -> struct(x.i, x.prefix, {_value('x.m', 'x.prefix', 'length', 'regexp_replace')} AS value))"
     wanted = f"filter({valued}, x -> x.prefix != '' OR x.value RLIKE {q(MIXED)})"
@@ -318,7 +326,7 @@ def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """
     found, findings, secret = apart(docs.columns, "_found", "_findings", "_secret")
     scanned = with_findings(docs, found, findings).withColumn(secret, F.expr(f"filter({findings}, x -> x.is_secret)"))
-    parts = f"split(text, {Spark.text(CANDIDATE)}, -1)"
+    parts = _fast(lambda x: f"split(text, {x}, -1)")
     masked = f"transform(filter({secret}, x -> x.place = i), x -> concat(x.prefix, {Spark.text(mask)}, if(endswith({found}[i], '@') AND x.prefix LIKE '%://%', '@', '')))"
     run = f"coalesce(get({masked}, 0), get({found}, i), '')"
     whole = f"array_join(transform({parts}, (t, i) -> concat(t, {run})), '')"
