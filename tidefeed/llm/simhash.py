@@ -323,7 +323,7 @@ def _long_forest(x: np.ndarray, resident: np.ndarray, sure: int, most: int) -> t
     x, names, own = x[order], names[order], np.flatnonzero(resident[order])
     label, perhaps = np.arange(len(x)), np.arange(len(x))
     out: list[tuple[np.ndarray, np.ndarray]] = []
-    step = max(1, (BLOCK >> 1) // len(x))
+    step = max(1, (BLOCK >> 4) // len(x))
     for lo in range(0, len(own), step):
         part = own[lo : lo + step]
         half = sum(np.bitwise_count(x[part, k][:, None] ^ x[None, :, k]) for k in range(LONG // 2))
