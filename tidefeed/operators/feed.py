@@ -47,15 +47,17 @@ def with_transaction(entries: DataFrame) -> DataFrame:
     return entries.withColumn("tx", F.when(mark == "C.SC", F.col("cycle").cast("string")))
 
 
-def change_events(entries: DataFrame, files: list[int] | None = None) -> DataFrame:
+def change_events(entries: DataFrame, files: list[int] | None = None, keys: tuple[str, ...] = ("file_no",)) -> DataFrame:
     """Inserts, updates and deletes with row images and transaction; everything that undoes is dropped.
 
-    Two windows: one over commit cycles, one over tables.
+    Two windows: one over commit cycles; one over images by ``keys``, as in with_before(). Inserts
+    and deletes are spread by their numbers there, as they need no neighbour.
     """
     wanted = without_ignored(entries)
     wanted = of_tables(wanted, files) if files else wanted
     tagged = with_transaction(wanted).where(F.col("code").isin("R.UB", *OPERATIONS))
-    w = Window.partitionBy("file_no", F.col("code").isin("R.UB", "R.UP")).orderBy("seq")
+    alone = F.when(~F.col("code").isin("R.UB", "R.UP"), F.col("seq"))
+    w = Window.partitionBy(*keys, alone).orderBy("seq")
     paired = tagged.withColumn("_held", F.when(F.lag("code").over(w) == "R.UB", F.lag("value").over(w)))
     op = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])[F.col("code")]
     before = F.when(F.col("code") == "R.UP", F.col("_held")).when(F.col("code") == "R.DL", F.col("value"))

@@ -6,7 +6,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from tidefeed.operators.ordered import neighbour, running
 
 
 @dataclass(frozen=True)
@@ -74,26 +75,57 @@ def refreshed(segments: list[Segment], end: Segment) -> list[Segment]:
     return [end if s.name == end.name else s for s in segments] if end.name in names else [*segments, end]
 
 
-def find_ranges(starts: DataFrame, receivers: DataFrame, most: int) -> DataFrame:
-    """For each ``(start_id, rcv, seq)`` the end of the next range, over segments without restarts.
+def indexed(receivers: DataFrame, first: str = "first_seq", last: str = "last_seq") -> DataFrame:
+    """``(seg, first, last, run, before)``: segments in their order, ``run`` counting restarts of the numbers, ``before`` the entries ahead in the run."""
+    r = receivers.select(F.col("rcv").alias("seg"), F.col(first).alias("first"), F.col(last).alias("last"))
+    r = neighbour(r, "seg", "last", "_end", ahead=False)
+    r = running(r, "seg", {"run": F.coalesce(F.col("first") < F.col("_end"), F.lit(False)).cast("long"), "upto": F.col("last") - F.col("first") + 1})
+    ahead = r.groupBy("run").agg(F.min(F.col("upto") - (F.col("last") - F.col("first") + 1)).alias("_ahead"), F.max("upto").alias("_all"))
+    r = r.join(ahead, "run")
+    size = F.col("last") - F.col("first") + 1
+    return r.select("seg", "first", "last", "run", (F.col("upto") - size - F.col("_ahead")).alias("before"), (F.col("_all") - F.col("_ahead")).alias("total"))
+
+
+def find_ranges(starts: DataFrame, receivers: DataFrame, most: int, first: str = "first_seq", last: str = "last_seq") -> DataFrame:
+    """For each ``(start_id, rcv, seq[, processed])`` its next range: ``(start_id, start_rcv, start_seq, end_rcv, end_seq)``, by the rule of next_range().
 
-    The join is of starts with segment metadata; the running count is by start.
+    A start in an unknown segment has none. A segment is found by the number of its
+    entries in the run: both sides are dealt by bins as wide as a mean segment, so a
+    start meets a few segments, not all.
     """
-    r = receivers.select(F.col("rcv").alias("seg"), "first_seq", "last_seq")
-    each = starts.join(F.broadcast(r), F.col("seg") >= F.col("rcv"))
-    w = Window.partitionBy("start_id").orderBy("seg")
-    each = each.withColumn("at", F.when(F.col("seg") == F.col("rcv"), F.col("seq")).otherwise(F.col("first_seq"))).withColumn("n", F.col("last_seq") - F.col("at") + 1)
-    each = each.withColumn("left", F.lit(most) - F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    fits = (F.col("left") >= 0) & (F.col("left") <= F.col("last_seq") - F.col("at"))
-    return each.groupBy("start_id").agg(
-        F.coalesce(F.min(F.when(fits, F.col("seg"))), F.max("seg")).alias("end_rcv"), F.coalesce(F.min(F.when(fits, F.col("at") + F.col("left"))), F.max("last_seq")).alias("end_seq")
-    )
+    segments = indexed(receivers, first, last)
+    done = F.col("processed") if "processed" in starts.columns else F.lit(True)
+    at = starts.withColumn("_done", done).join(segments.withColumnRenamed("seg", "rcv"), "rcv")
+    at = at.withColumn("_at", F.col("before") + F.col("seq") - F.col("first"))
+    # At the end of a run that is done the range begins behind the restart, its first entry included.
+    heads = segments.where("before = 0").select((F.col("run") - 1).alias("run"), F.col("seg").alias("_head"), F.col("first").alias("_first"), F.col("total").alias("_total"))
+    at = at.join(heads, "run", "left")
+    moves = F.col("_done") & (F.col("_at") >= F.col("total") - 1) & F.col("_head").isNotNull()
+    at = at.select(
+        "start_id", F.when(moves, F.col("run") + 1).otherwise(F.col("run")).alias("run"), F.when(moves, F.col("_head")).otherwise(F.col("rcv")).alias("start_rcv"), F.when(moves, F.col("_first")).otherwise(F.col("seq")).alias("start_seq"),
+        F.when(moves, F.least(F.lit(most - 1), F.col("_total") - 1)).otherwise(F.greatest("_at", F.least(F.col("_at") + most, F.col("total") - 1))).alias("_end"),
+    )
+    width = segments.agg(F.greatest(F.lit(1), F.floor(F.avg(F.col("last") - F.col("first") + 1))).alias("_width"))
+    bin_of = lambda x: F.floor(x / F.col("_width"))
+    binned = segments.join(F.broadcast(width)).withColumn("_bin", F.explode(F.sequence(bin_of(F.col("before")), bin_of(F.col("before") + F.col("last") - F.col("first")))))
+    found = at.join(F.broadcast(width)).withColumn("_bin", bin_of(F.col("_end"))).drop("_width").join(binned.drop("_width", "total"), ["run", "_bin"])
+    found = found.where((F.col("_end") >= F.col("before")) & (F.col("_end") <= F.col("before") + F.col("last") - F.col("first")))
+    return found.select("start_id", "start_rcv", "start_seq", F.col("seg").alias("end_rcv"), (F.col("first") + F.col("_end") - F.col("before")).alias("end_seq"))
 
 
 def pages(receivers: DataFrame, most: int) -> DataFrame:
     """Pages of ``most`` entries over the whole chain: ``(page, end_rcv, end_seq)``, from segment metadata alone."""
-    w = Window.orderBy("rcv")
-    r = receivers.withColumn("upto", F.sum("entries").over(w)).withColumn("total", F.sum("entries").over(Window.partitionBy()))
-    r = r.withColumn("before", F.col("upto") - F.col("entries")).withColumn("page", F.explode(F.sequence(F.expr(f"before div {most}"), F.expr(f"(upto - 1) div {most}"))))
+    r = running(receivers.select("rcv", "first_seq", "entries"), "rcv", {"upto": F.col("entries")})
+    total = receivers.agg(F.sum("entries").alias("total"))
+    r = r.join(F.broadcast(total)).withColumn("before", F.col("upto") - F.col("entries")).withColumn("page", F.explode(F.sequence(F.expr(f"before div {most}"), F.expr(f"(upto - 1) div {most}"))))
     r = r.withColumn("last", F.least((F.col("page") + 1) * most, F.col("total"))).where("last > before AND last <= upto")
     return r.select("page", F.col("rcv").alias("end_rcv"), (F.col("first_seq") + F.col("last") - F.col("before") - 1).alias("end_seq"))
+
+
+def all_ranges(segments: list[Segment], start: Position, most: int) -> list[Range]:
+    """The ranges from a start to the end of the list, one after the other; none if the start's segment isn't in it."""
+    out: list[Range] = []
+    while (found := next_range(segments, start, most)) is not None and not found.empty and (not out or found.end != out[-1].end):
+        out.append(found)
+        start = replace(found.end, processed=True)
+    return out

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from tidefeed.operators.ordered import neighbour
 
 SEGMENT, CYCLE = 1000, 50
 ATTACHED, DETACHED, PARTIAL = 1, 2, 5
@@ -58,6 +59,5 @@ def receivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = journal(spark, sf_dir).groupBy("rcv").agg(
         F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.min("rseq").alias("first_rseq"), F.max("rseq").alias("last_rseq"), F.count("*").alias("entries"), F.min("ts").alias("attached")
     )
-    following = F.lead("rcv").over(Window.orderBy("rcv"))
     status = F.when(F.col("next_rcv").isNull(), ATTACHED).when(F.col("rcv") % 4 == 3, PARTIAL).otherwise(DETACHED)
-    return stats.withColumn("next_rcv", following).withColumn("status", status)
+    return neighbour(stats, "rcv", "rcv", "next_rcv").withColumn("status", status)
