@@ -1,10 +1,5 @@
-import json
-
-import pytest
-
 import __spark_entry__
 from tidefeed.operators import feed
-from tidefeed.sources.reader import InvalidFilter, InvalidPosition, JournalReader, JournalSource, ReadFailure, failure
 from tidefeed.sources.journal import journal
 from tidefeed.streaming import changes
 
@@ -45,34 +40,31 @@ def test_entry(spark):
     assert rows.columns == ["seq", "rcv", "ts", "file_no", "op", "before", "after", "tx"] and rows.count() > 0
 
 
-def segments(folder):
-    for k, (first, last) in enumerate([(1, 4), (5, 9), (1, 3)]):  # the last one restarts
-        (folder / f"seg-{k:05}.json").write_text("".join(json.dumps({"seq": s, "code": "R.PT", "file_no": k, "value": 1.0}) + "\n" for s in range(first, last + 1)))
+def test_absent_values_and_open_updates(spark, tmp_path):
+    rows = [(1, 1, "R.UB", None), (2, 1, "R.UP", 2.0), (3, 1, "R.UP", None), (4, 2, "R.UB", 4.0), (5, 2, "R.UP", float("nan"))]
+    spark.createDataFrame(rows, "seq long, file_no long, code string, value double").coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    stream = spark.readStream.schema("seq long, file_no long, code string, value double").parquet(f"file://{tmp_path}/in")
+    got = {r["seq"]: (r["before"], r["after"]) for r in changes.run_to_end(changes.pair_stream(stream), "pairs").collect()}
+    assert got[2] == (None, 2.0) and got[3] == (None, None) and got[5][0] == 4.0 and got[5][1] != got[5][1]
 
 
-def test_reader_reads_each_entry_once_across_a_restart(tmp_path):
-    segments(tmp_path)
-    reader = JournalReader({"path": str(tmp_path), "maxEntries": "3"})
-    at, seen = reader.initialOffset(), []
-    for _ in range(20):
-        end = reader.latestOffset()
-        if end == at:
-            break
-        seen += [row[:2] for p in reader.partitions(at, end) for row in reader.read(p)]
-        at = end
-    assert seen == [(f"seg-{k:05}.json", s) for k, (a, b) in enumerate([(1, 4), (5, 9), (1, 3)]) for s in range(a, b + 1)]
+def test_pairing_by_row_and_spread_inserts(spark):
+    rows = [(1, 1, 7, "R.UB", 1.0), (2, 1, 8, "R.UB", 2.0), (3, 1, 7, "R.UP", 3.0), (4, 1, 8, "R.UP", 4.0), (5, 1, 7, "R.PT", 5.0)]
+    entries = spark.createDataFrame([(*r, 0, 0, None) for r in rows], "seq long, file_no long, user_id long, code string, value double, rcv long, cycle long, ts timestamp")
+    events = lambda **k: {r["seq"]: (r["before"], r["after"]) for r in feed.change_events(entries, **k).collect()}
+    assert events() == {3: (2.0, 3.0), 4: (None, 4.0), 5: (None, 5.0)}
+    assert events(keys=("file_no", "user_id")) == {3: (1.0, 3.0), 4: (2.0, 4.0), 5: (None, 5.0)}
 
 
-def test_reader_lost_segment(tmp_path):
-    segments(tmp_path)
-    gone = {"segment": "seg-99999.json", "seq": 3, "processed": True}
-    for policy in ("fail", "reset"):
-        reader = JournalReader({"path": str(tmp_path), "onDataLoss": policy})
-        reader.reached = gone
-        if policy == "fail":
-            with pytest.raises(InvalidPosition):
-                reader.latestOffset()
-        else:
-            assert reader.latestOffset() == reader.initialOffset()
-    assert JournalSource.name() == "journal"
-    assert [failure(c) for c in ("CPF7053", "CPF7060", "CPF7062", "CPF1")] == [InvalidPosition, InvalidFilter, None, ReadFailure]
+def test_forgotten_transactions(spark, tmp_path):
+    """With a time to live, state goes by the clock; such a query has no end, so it is stopped when all is read."""
+    spark.createDataFrame([(1, 1, "C.SC"), (2, 1, "R.PT"), (3, 2, "R.PT")], "seq long, cycle long, code string").write.parquet(f"file://{tmp_path}/in")
+    stream = spark.readStream.schema("seq long, cycle long, code string").parquet(f"file://{tmp_path}/in")
+    rows: dict = {}
+    query = changes.transaction_stream(stream, ttl_ms=60_000).writeStream.foreachBatch(lambda df, _: rows.update((r["seq"], r["tx"]) for r in df.collect())).option("checkpointLocation", f"file://{tmp_path}/check").start()
+    for _ in range(300):
+        if len(rows) == 2:
+            break
+        query.awaitTermination(0.1)
+    query.stop()
+    assert rows == {2: "1", 3: None}

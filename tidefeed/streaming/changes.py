@@ -8,44 +8,51 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidefeed.sources.reader import register
 from tidefeed.sources.scratch import fresh_path
+from tidefeed.sources.segments import write_segments
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class PairImages(StatefulProcessor):
-    """For a table, the before-image that waits for its after-image."""
+    """For a table, the before-image that waits for its after-image. Absent values have a flag, as pandas has no null beside NaN."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("held", "value double")
+        self.held = handle.getValueState("held", "value double, absent boolean")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         entries = pd.concat(list(rows)).sort_values("seq")
-        held = self.held.get()[0] if self.held.exists() else None
+        held = tuple(self.held.get()) if self.held.exists() else None
         out = []
-        for seq, code, value in zip(entries["seq"], entries["code"], entries["value"], strict=True):
+        for seq, code, value, absent in zip(entries["seq"], entries["code"], entries["value"].astype(float), entries["absent"], strict=True):
             if code == "R.UB":
-                held = None if pd.isna(value) else float(value)
+                held = (0.0 if absent else float(value), bool(absent))
             else:
-                out.append((seq, key[0], held, value))
+                before, missing = held or (0.0, True)
+                out.append((seq, key[0], before, missing, 0.0 if absent else value, absent))
                 held = None
         if held is None:
             self.held.clear()
         else:
-            self.held.update((held,))
-        yield pd.DataFrame(out, columns=["seq", "file_no", "before", "after"])
+            self.held.update(held)
+        yield pd.DataFrame(out, columns=["seq", "file_no", "before", "no_before", "after", "no_after"])
 
     def close(self) -> None:
         pass
 
 
 class OpenTransactions(StatefulProcessor):
-    """For a commit cycle, whether a start has been seen that no end has followed."""
+    """For a commit cycle, whether a start has been seen that no end has followed. With ``ttl_ms``, one that is never ended is forgotten."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", "mark boolean")
+        self.open = handle.getValueState("open", "mark boolean", self.ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         entries = pd.concat(list(rows)).sort_values("seq")
@@ -78,31 +85,33 @@ def run_to_end(stream: DataFrame, label: str, checkpoint: str | None = None, out
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def as_stream(entries: DataFrame, files: int = 4) -> DataFrame:
-    """The journal written as files, and streamed from them, one file a batch.
-
-    The file source goes by time of writing, so the files are written one after the other in the order of the sequence.
-    """
+def as_stream(entries: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """The journal written as segment files, and streamed from them in pages of ``most`` entries."""
     spark = entries.sparkSession
     path = fresh_path(spark, "journal")
-    low, high = entries.agg(F.min("seq"), F.max("seq")).first()
-    step = ((high or 0) - (low or 0)) // files + 1
-    for i in range(files):
-        first = (low or 0) + i * step
-        entries.where(F.col("seq").between(first, first + step - 1)).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(entries.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stored = entries.withColumnRenamed("seq", "number")
+    write_segments(stored, path)
+    register(spark)
+    schema = T.StructType().add("segment", "string").add("seq", "long")
+    for f in stored.schema:
+        schema = schema if f.name in ("rcv", "rseq") else schema.add(f.name, f.dataType)
+    stream = spark.readStream.format("journal").schema(schema).option("path", path).option("maxEntries", most).load()
+    rcv = F.regexp_extract("segment", "([0-9]+)", 1).cast("long")
+    return stream.select(F.col("number").alias("seq"), rcv.alias("rcv"), F.col("seq").alias("rseq"), *(c for c in schema.names if c not in ("segment", "seq", "number")))
 
 
 def pair_stream(entries: DataFrame) -> DataFrame:
     entries.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    images = entries.where("code IN ('R.UB', 'R.UP')").select("file_no", "seq", "code", "value")
-    return images.groupBy("file_no").transformWithStateInPandas(PairImages(), "seq long, file_no long, before double, after double", "Append", "None")
+    images = entries.where("code IN ('R.UB', 'R.UP')").select("file_no", "seq", "code", "value", F.col("value").isNull().alias("absent"))
+    out = images.groupBy("file_no").transformWithStateInPandas(PairImages(), "seq long, file_no long, before double, no_before boolean, after double, no_after boolean", "Append", "None")
+    kept = lambda x: F.when(~F.col(f"no_{x}"), F.coalesce(F.col(x), F.lit(float("nan")))).alias(x)
+    return out.select("seq", "file_no", kept("before"), kept("after"))
 
 
-def transaction_stream(entries: DataFrame) -> DataFrame:
+def transaction_stream(entries: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     entries.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     wanted = entries.where("code IN ('C.SC', 'C.CM', 'R.PT', 'R.UP', 'R.DL')").select("cycle", "seq", "code")
-    return wanted.groupBy("cycle").transformWithStateInPandas(OpenTransactions(), "seq long, tx string", "Append", "None")
+    return wanted.groupBy("cycle").transformWithStateInPandas(OpenTransactions(ttl_ms), "seq long, tx string", "Append", "ProcessingTime" if ttl_ms else "None")
 
 
 def windowed(entries: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
