@@ -25,7 +25,7 @@ def duck():
     return c
 
 
-@pytest.mark.parametrize("name", [n for n in catalog.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query(spark, duck, name):
     got = catalog.queries()[name](spark, SF)
     rows = got.collect()

@@ -8,10 +8,18 @@ from pyspark.sql.window import Window
 
 from tidefeed.functions import codec
 from tidefeed.functions import columns as fn
-from tidefeed.operators import catalog_tables, feed, ranges
+from tidefeed.operators import catalog_tables, feed, health, offsets, ranges, transforms
 from tidefeed.operators import receivers as chain
+from tidefeed.operators import snapshot as first_image
+from tidefeed.operators.criteria import CURRENT, CURRENT_CHAIN, Criteria
+from tidefeed.operators.ordered import running
 from tidefeed.sources.journal import JOURNAL_SQL, RECEIVERS_SQL, journal, receivers, table
+from tidefeed.sources.reader import FAILURES, ReadFailure, register
+from tidefeed.sources.scratch import fresh_path
+from tidefeed.sources.segments import write_segments
+from tidefeed.sources.shipping import ship
 from tidefeed.streaming import changes
+from tidefeed.streaming import running as feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -58,13 +66,51 @@ def _values(rows: list[tuple]) -> str:
 @query("SELECT seq, rcv, code, value FROM J WHERE seq BETWEEN 100 AND 900")
 def journal_scan(spark, d):
     """An inclusive stretch of the journal; the bounds reach the scan as a filter on event_id."""
-    return journal(spark, d).where(F.col("seq").between(100, 900)).select("seq", "rcv", "code", "value")
+    return Criteria(start=100, end=900).apply(journal(spark, d)).select("seq", "rcv", "code", "value")
+
+
+def _segment_files(spark, d) -> str:
+    """The journal as segment files, whose numbers restart in each."""
+    path = fresh_path(spark, "segments")
+    write_segments(journal(spark, d).select("rcv", "rseq", "code", "file_no", "value"), path)
+    register(spark)
+    return path
+
+
+_OF_FILES = ("CAST(regexp_extract(segment, '([0-9]+)', 1) AS BIGINT) AS rcv", "seq AS rseq")
+
+
+@query("SELECT rcv, rseq, code, file_no, value FROM J")
+def journal_source(spark, d):
+    """The batch source over segment files, every entry once, in pages that end at restarts."""
+    return spark.read.format("journal").option("path", _segment_files(spark, d)).option("maxEntries", 300).load().selectExpr(*_OF_FILES, "code", "file_no", "value")
+
+
+@query("SELECT rcv, rseq, code FROM J WHERE rseq BETWEEN 200 AND 210 AND left(code, 1) = 'R'")
+def journal_source_criteria(spark, d):
+    """Criteria as options, and bounds of the number as a filter that narrows what is read."""
+    rows = spark.read.format("journal").option("path", _segment_files(spark, d)).option("codes", "R").load()
+    return rows.where("seq BETWEEN 200 AND 210").selectExpr(*_OF_FILES, "code")
+
+
+@query("SELECT rcv, rseq, code, file_no, value FROM J")
+def journal_stream_source(spark, d):
+    """The streaming source: one run to the end of all segments, restarts included."""
+    stream = spark.readStream.format("journal").option("path", _segment_files(spark, d)).option("maxEntries", 300).load()
+    return changes.run_to_end(stream.selectExpr(*_OF_FILES, "code", "file_no", "value"), "journal")
 
 
 @query("SELECT seq, rcv, code FROM J WHERE NOT (seq = 100 AND rcv = 0) AND seq >= 100")
 def skip_processed(spark, d):
     """Resuming at a processed position: its entry isn't seen again."""
-    return journal(spark, d).where("seq >= 100 AND NOT (seq = 100 AND rcv = 0)").select("seq", "rcv", "code")
+    return offsets.after(journal(spark, d), 100, 0, processed=True).select("seq", "rcv", "code")
+
+
+@query("SELECT min(seq) > 0 AS has_data, max(CASE WHEN rcv > 0 THEN 1 ELSE 0 END) = 1 AS more FROM J WHERE seq > 100")
+def has_data(spark, d):
+    """Whether anything is behind a position, and whether it goes on in a later segment."""
+    behind = offsets.after(journal(spark, d), 100, 0, processed=True)
+    return behind.agg((F.count("*") > 0).alias("has_data"), F.coalesce(F.max("rcv") > 0, F.lit(False)).alias("more"))
 
 
 _CODES = [("CPF7053",), ("CPF9801",), ("CPF7054",), ("CPF7060",), ("CPF7062",), ("CPF0000",)]
@@ -73,8 +119,6 @@ _CODES = [("CPF7053",), ("CPF9801",), ("CPF7054",), ("CPF7060",), ("CPF7062",),
 @query(f"""SELECT code, CASE WHEN code IN ('CPF7053', 'CPF9801', 'CPF7054') THEN 'InvalidPosition' WHEN code = 'CPF7060' THEN 'InvalidFilter'
   WHEN code = 'CPF7062' THEN 'none' ELSE 'ReadFailure' END AS error FROM ({_values(_CODES)}) t(code)""")
 def error_classify(spark, d):
-    from tidefeed.sources.reader import FAILURES, ReadFailure
-
     named = F.create_map(*[F.lit(x) for k, v in FAILURES.items() for x in (k, v.__name__ if v else "none")])
     return _rows(spark, "code string", _CODES).select("code", F.coalesce(named[F.col("code")], F.lit(ReadFailure.__name__)).alias("error"))
 
@@ -97,22 +141,22 @@ def receiver_details(spark, d):
 _JOURNALS = [("APP", "ORDERS", "QSQJRN", "APP"), ("APP", "ITEMS", "QSQJRN", "APP"), ("APP", "AUDIT", "AUDJRN", "SYS"), ("OTHER", "X", "XJRN", "OTHER")]
 
 
-@query(f"""SELECT min(jrn) AS jrn, min(lib) AS lib, count(DISTINCT jrn || '/' || lib) AS journals FROM ({_values(_JOURNALS)}) t(sch, tab, jrn, lib) WHERE sch = 'APP' AND tab IN ('ORDERS', 'ITEMS')""")
+@query(f"SELECT DISTINCT jrn, lib FROM ({_values(_JOURNALS)}) t(sch, tab, jrn, lib) WHERE sch = 'APP' AND tab IN ('ORDERS', 'ITEMS')")
 def journal_discovery(spark, d):
-    """The journal of the included tables; a count other than one is an error to the caller."""
-    known = _rows(spark, "sch string, tab string, jrn string, lib string", _JOURNALS).where("sch = 'APP' AND tab IN ('ORDERS', 'ITEMS')")
-    return known.agg(F.min("jrn").alias("jrn"), F.min("lib").alias("lib"), F.countDistinct(F.concat_ws("/", "jrn", "lib")).alias("journals"))
+    """The one journal that the included tables share."""
+    return first_image.discover(_rows(spark, "sch string, tab string, jrn string, lib string", _JOURNALS), "APP", ["ORDERS", "ITEMS"])
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'READ' AS op FROM customer")
 def snapshot_scan(spark, d):
-    return table(spark, d, "customer").withColumn("op", F.lit("READ"))
+    return first_image.snapshot(spark, {"customer": table(spark, d, "customer")})["customer"]
 
 
 @query("SELECT c_custkey, c_name, 'READ' AS op FROM customer WHERE c_acctbal > 0")
 def snapshot_override(spark, d):
     """A table's snapshot by a statement of its own."""
-    return spark.sql("SELECT c_custkey, c_name, 'READ' AS op FROM {customer} WHERE c_acctbal > 0", customer=table(spark, d, "customer"))
+    own = {"customer": "SELECT c_custkey, c_name FROM {customer} WHERE c_acctbal > 0"}
+    return first_image.snapshot(spark, {"customer": table(spark, d, "customer")}, own)["customer"]
 
 
 @query()
@@ -124,40 +168,49 @@ def catalog_tables_list(spark, d):
 
 @query("SELECT seq, code FROM J WHERE rcv BETWEEN 2 AND 4")
 def criteria_receiver(spark, d):
-    return journal(spark, d).where("rcv BETWEEN 2 AND 4").select("seq", "code")
+    return Criteria(receivers=(2, 4)).apply(journal(spark, d)).select("seq", "code")
+
+
+@query("SELECT seq, code FROM J WHERE rcv IN (SELECT rcv FROM R WHERE status = 1)")
+def criteria_current(spark, d):
+    return Criteria(receivers=CURRENT).apply(journal(spark, d), receivers(spark, d)).select("seq", "code")
+
+
+@query("SELECT count(*) AS n, min(seq) AS low FROM J WHERE rcv > (SELECT coalesce(max(rcv), -1) FROM R WHERE status NOT IN (1, 2, 3))")
+def criteria_current_chain(spark, d):
+    """The chain of the attached segment, back to where one isn't joined."""
+    return Criteria(receivers=CURRENT_CHAIN).apply(journal(spark, d), receivers(spark, d)).agg(F.count("*").alias("n"), F.min("seq").alias("low"))
 
 
 @query("SELECT seq, code FROM J WHERE seq BETWEEN 1500 AND (SELECT max(seq) FROM J)")
 def criteria_range(spark, d):
     """From an entry to *LAST."""
-    return journal(spark, d).where("seq >= 1500").select("seq", "code")
+    return Criteria(start=1500).apply(journal(spark, d)).select("seq", "code")
 
 
 @query("SELECT seq, code FROM J ORDER BY seq LIMIT 250")
 def criteria_limit(spark, d):
-    return journal(spark, d).orderBy("seq").limit(250).select("seq", "code")
+    return Criteria(most=250).apply(journal(spark, d)).select("seq", "code")
 
 
 @query("SELECT seq, code FROM J WHERE left(code, 1) IN ('C', 'D')")
 def criteria_codes(spark, d):
-    return journal(spark, d).where(F.left("code", F.lit(1)).isin("C", "D")).select("seq", "code")
+    return Criteria(codes=("C", "D")).apply(journal(spark, d)).select("seq", "code")
 
 
 @query("SELECT seq, code FROM J WHERE split_part(code, '.', 2) IN ('PT', 'DL', 'UP')")
 def criteria_types(spark, d):
-    return journal(spark, d).where(F.split_part("code", F.lit("."), F.lit(2)).isin("PT", "DL", "UP")).select("seq", "code")
+    return Criteria(types=("PT", "DL", "UP")).apply(journal(spark, d)).select("seq", "code")
 
 
 @query(f"SELECT seq, file_no FROM J WHERE file_no IN ({FILES_SQL})")
 def criteria_files(spark, d):
-    return journal(spark, d).where(F.col("file_no").isin(INCLUDED)).select("seq", "file_no")
+    return Criteria(files=tuple(INCLUDED)).apply(journal(spark, d)).select("seq", "file_no")
 
 
-@query("SELECT seq, ts, cycle FROM J WHERE ts >= (SELECT min(ts) FROM J) + INTERVAL 1 DAY AND user_id < 50")
+@query("SELECT seq, ts, cycle FROM J WHERE ts BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00' AND user_id IN (1, 2, 3, 5, 8, 13, 21)")
 def criteria_time(spark, d):
-    j = journal(spark, d)
-    start = j.agg(F.min("ts").alias("t0"))
-    return j.join(F.broadcast(start), F.col("ts") >= F.col("t0") + F.expr("INTERVAL 1 DAY")).where("user_id < 50").select("seq", "ts", "cycle")
+    return Criteria(since="2024-01-02 00:00:00", until="2024-01-20 12:00:00", users=(1, 2, 3, 5, 8, 13, 21)).apply(journal(spark, d)).select("seq", "ts", "cycle")
 
 
 # --- ranges and segments --------------------------------------------------
@@ -174,12 +227,23 @@ def _starts(spark, d):
 
 @query(_FIND.format(most=1700))
 def find_range(spark, d):
-    return ranges.find_ranges(_starts(spark, d), receivers(spark, d), 1700)
+    return ranges.find_ranges(_starts(spark, d), receivers(spark, d), 1700).select("start_id", "end_rcv", "end_seq")
 
 
 @query(_FIND.format(most=300))
 def find_position(spark, d):
-    return ranges.find_ranges(_starts(spark, d), receivers(spark, d), 300)
+    return ranges.find_ranges(_starts(spark, d), receivers(spark, d), 300).select("start_id", "end_rcv", "end_seq")
+
+
+_RESTARTS = [(1, 0, 1, True), (2, 0, 700, True), (3, 0, 1000, True), (4, 0, 1000, False), (5, 2, 999, True), (6, 4, 1000, True), (7, 99, 5, True)]
+
+
+@query(f"""SELECT start_id, CASE WHEN moves THEN rcv + 1 ELSE rcv END AS start_rcv, CASE WHEN moves THEN 1 ELSE s END AS start_seq, CASE WHEN moves THEN rcv + 1 ELSE rcv END AS end_rcv,
+  CASE WHEN moves THEN least(400, (SELECT last_rseq FROM R x WHERE x.rcv = q.rcv + 1)) ELSE least(last_rseq, s + 400) END AS end_seq
+  FROM (SELECT x.start_id, x.rcv, x.s, R.last_rseq, flag = 1 AND s = R.last_rseq AND R.next_rcv IS NOT NULL AS moves FROM ({_values([(a, b, c, int(x)) for a, b, c, x in _RESTARTS])}) x(start_id, rcv, s, flag) JOIN R ON R.rcv = x.rcv) q""")
+def find_range_restarts(spark, d):
+    """Ranges over the numbers that restart in each segment: none goes across, one that is done moves behind the restart."""
+    return ranges.find_ranges(_rows(spark, "start_id int, rcv long, seq long, processed boolean", _RESTARTS), receivers(spark, d), 400, "first_rseq", "last_rseq")
 
 
 @query("SELECT rcv, least(last_seq, first_seq + 400) AS end_seq FROM R")
@@ -206,8 +270,8 @@ def last_joined(spark, d):
 
 
 @query(""", links(rcv, chain) AS (
-  SELECT rcv, rcv FROM R a WHERE status != 5 AND NOT EXISTS (SELECT 1 FROM R b WHERE b.next_rcv = a.rcv AND b.status != 5)
-  UNION ALL SELECT c.next_rcv, links.chain FROM links JOIN (SELECT * FROM R) c ON c.rcv = links.rcv JOIN (SELECT * FROM R) n ON n.rcv = c.next_rcv WHERE n.status != 5
+  SELECT rcv, rcv FROM R a WHERE status IN (1, 2, 3) AND NOT EXISTS (SELECT 1 FROM R b WHERE b.next_rcv = a.rcv AND b.status IN (1, 2, 3))
+  UNION ALL SELECT c.next_rcv, links.chain FROM links JOIN (SELECT * FROM R) c ON c.rcv = links.rcv JOIN (SELECT * FROM R) n ON n.rcv = c.next_rcv WHERE n.status IN (1, 2, 3)
 ) SELECT rcv, chain FROM links""")
 def receiver_chain(spark, d):
     return chain.chain_numbers(receivers(spark, d))
@@ -225,11 +289,11 @@ def reset_detect(spark, d):
     return chain.restarts(receivers(spark, d))
 
 
-@query("SELECT rcv FROM R WHERE rcv % 2 = 0 AND rcv NOT IN (SELECT rcv FROM R WHERE status = 5)")
+@query("SELECT rcv FROM R WHERE status != 1 AND rcv >= 2")
 def cache_prune(spark, d):
-    """Cached segments that the newest list still has."""
+    """Of the cached segments, those detached, the ones that a newer list still has: its first two are gone."""
     r = receivers(spark, d)
-    return r.where("rcv % 2 = 0").select("rcv").join(r.where("status = 5").select("rcv"), "rcv", "left_anti")
+    return chain.keep_only(chain.cacheable(r), r.where("rcv >= 2")).select("rcv")
 
 
 @query("SELECT rcv, attached, status FROM R WHERE status != 5 ORDER BY attached DESC")
@@ -242,14 +306,12 @@ def journal_browse(spark, d):
     return journal(spark, d).select("ts", "code", "user_id", "seq").orderBy(F.desc("ts"))
 
 
-@query()
+@query("SELECT last_seq AS seq, CAST(rcv AS VARCHAR) AS receiver, CAST(floor(epoch(attached)) AS BIGINT) AS time, rcv % 2 = 0 AS processed FROM R WHERE rcv % 3 != 0 UNION ALL SELECT NULL, NULL, NULL, false FROM R WHERE rcv % 3 = 0")
 def offset_roundtrip(spark, d):
-    """A position as the map that a checkpoint stores, and back."""
-    at = receivers(spark, d).where("status = 1").select(
-        F.to_json(F.struct(F.col("last_seq").cast("string").alias("event_sequence"), F.unix_timestamp(F.col("attached").cast("timestamp")).cast("string").alias("time"), F.col("rcv").cast("string").alias("receiver"), F.lit("true").alias("processed"))).alias("stored")
-    )
-    back = F.from_json("stored", "map<string,string>")
-    return at.select("stored", back["event_sequence"].cast("decimal(20,0)").alias("seq"), (back["processed"] == "true").alias("processed"))
+    """Positions as the maps that a checkpoint stores, and back; each third one is blank."""
+    seq = F.when(F.col("rcv") % 3 != 0, F.col("last_seq"))
+    stored = offsets.stored_map(seq, F.col("attached"), F.col("rcv"), F.col("rcv") % 2 == 0)
+    return offsets.loaded(receivers(spark, d).select(stored.alias("stored"))).select(F.col("seq").cast("long").alias("seq"), "receiver", "time", "processed")
 
 
 # --- the feed -------------------------------------------------------------
@@ -313,17 +375,19 @@ def schema_versions(spark, d):
     return feed.schema_versions(journal(spark, d)).select("seq", "file_no", "version")
 
 
-@query("SELECT seq, code, file_no FROM J WHERE seq > 500")
+@query("SELECT rcv, rseq, code FROM J WHERE seq > 500")
 def dedupe_resume(spark, d):
-    """Two overlapping deliveries, each entry once."""
+    """Two overlapping deliveries, each entry once, known by its segment and its number in it."""
     j = journal(spark, d)
-    return j.where("seq > 500 AND seq <= 2500").union(j.where("seq > 2000")).dropDuplicates(["seq"]).select("seq", "code", "file_no")
+    return offsets.resumed(j.where("seq > 500 AND seq <= 2500").union(j.where("seq > 2000"))).select("rcv", "rseq", "code")
 
 
-@query("SELECT seq, CASE WHEN value < 1 THEN 'too small' END AS error FROM J WHERE code = 'R.PT' AND value < 1")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 14 = 0 THEN 'length' ELSE 'amount' END AS error FROM customer WHERE c_custkey % 7 = 0")
 def dead_letter(spark, d):
-    """Entries that can't be decoded go aside with their reason; none is lost."""
-    return journal(spark, d).where("code = 'R.PT'").withColumn("error", F.when(F.col("value") < 1, "too small")).where("error IS NOT NULL").select("seq", "error")
+    """Records that can't be decoded go aside with the reason: a broken decimal, or cut short."""
+    broken = F.when(F.col("c_custkey") % 14 == 0, F.expr("substring(record, 1, 20)")).when(F.col("c_custkey") % 7 == 0, F.concat(F.expr("substring(record, 1, 4)"), F.lit(b"\xee"), F.expr("substring(record, 6)"))).otherwise(F.col("record"))
+    decoded = codec.decode_records(_records(spark, d).withColumn("record", broken), FIELDS)
+    return codec.with_dead_letters(decoded, ["c_custkey"])[1]
 
 
 _CUT = "(SELECT max(seq) // 2 FROM J)"
@@ -333,10 +397,8 @@ _CUT = "(SELECT max(seq) // 2 FROM J)"
 def snapshot_stream_merge(spark, d):
     """A snapshot at a cut, then the changes behind it."""
     j = journal(spark, d)
-    cut = F.broadcast(j.agg(F.expr("max(seq) div 2").alias("cut")))
-    snap = table(spark, d, "customer").join(cut).select(F.col("c_custkey").alias("key"), F.lit("READ").alias("op"), F.col("cut").alias("seq"))
-    later = j.where("code IN ('R.PT', 'R.UP', 'R.DL')").join(cut, F.col("seq") > F.col("cut")).select(F.col("user_id").alias("key"), F.lit("CHANGE").alias("op"), "seq")
-    return snap.unionByName(later)
+    changed = j.where("code IN ('R.PT', 'R.UP', 'R.DL')").withColumn("key", F.col("user_id"))
+    return first_image.with_feed(table(spark, d, "customer"), changed, "c_custkey", j.agg(F.expr("max(seq) div 2").alias("cut")))
 
 
 @query(f"SELECT file_no, arg_max(after, seq) AS value FROM (SELECT seq, file_no, code, value AS after FROM J WHERE code IN ('R.PT', 'R.UP', 'R.DL')) GROUP BY file_no HAVING arg_max(code, seq) != 'R.DL'")
@@ -344,15 +406,20 @@ def latest_state(spark, d):
     return feed.latest_state(feed.change_events(journal(spark, d)))
 
 
-@query("SELECT (SELECT max(seq) FROM J) - 750 AS behind, 750 AS position")
+_POSITIONS = [(0, 1), (0, 750), (2, 1000), (3, 17), (99, 1)]
+
+
+@query(f"SELECT p.rcv, p.rseq, CASE WHEN p.rcv IN (SELECT rcv FROM R) THEN (SELECT count(*) FROM J WHERE J.rcv > p.rcv OR J.rcv = p.rcv AND J.rseq > p.rseq) END AS behind FROM ({_values(_POSITIONS)}) p(rcv, rseq)")
 def lag_metrics(spark, d):
-    return receivers(spark, d).agg((F.sum("entries") - 750).alias("behind"), F.lit(750).alias("position"))
+    """Entries behind a position, counted by segment; none of a segment that is gone."""
+    return chain.behind(receivers(spark, d), _rows(spark, "rcv long, rseq long", _POSITIONS))
 
 
-@query("SELECT rcv, sum(length(code) + 219)::BIGINT AS bytes, sum(sum(length(code) + 219)) OVER (ORDER BY rcv)::BIGINT AS total FROM J GROUP BY rcv")
+@query("SELECT 'RCV' || lpad(CAST(rcv AS VARCHAR), 5, '0') AS receiver, (46 + 8 - 1 + 32 + count(*) * 219)::BIGINT AS bytes, sum(46 + 8 - 1 + 32 + count(*) * 219) OVER (ORDER BY rcv)::BIGINT AS total FROM J GROUP BY rcv")
 def bytes_transferred(spark, d):
-    by = journal(spark, d).groupBy("rcv").agg(F.sum(F.length("code") + codec.ENTRY_SIZE).alias("bytes"))
-    return by.withColumn("total", F.sum("bytes").over(Window.orderBy("rcv")))
+    """Bytes of each block, by its own header, and in all."""
+    sizes = _first_headers(spark, d).select("receiver", F.col("total_bytes").cast("long").alias("bytes")).withColumn("_k", F.substring("receiver", 4, 5).cast("long"))
+    return running(sizes, "_k", {"total": F.col("bytes")}).select("receiver", "bytes", "total")
 
 
 # --- names, columns, catalogue --------------------------------------------
@@ -374,15 +441,24 @@ def split_object(spark, d):
 
 @query(f"SELECT file_no, coalesce(n.long_name, 'F' || file_no) AS long_name, count(*) AS n FROM J LEFT JOIN ({_values(_NAMES)}) n(system_name, long_name) ON n.system_name = 'F' || file_no GROUP BY ALL")
 def resolve_names(spark, d):
-    j = journal(spark, d).withColumn("system_name", F.concat(F.lit("F"), F.col("file_no").cast("string")))
-    return catalog_tables.long_names(j, _rows(spark, "system_name string, long_name string", _NAMES)).groupBy("file_no", "long_name").agg(F.count("*").alias("n"))
+    by = journal(spark, d).groupBy("file_no").agg(F.count("*").alias("n")).withColumn("system_name", F.concat(F.lit("F"), F.col("file_no").cast("string")))
+    return catalog_tables.long_names(by, _rows(spark, "system_name string, long_name string", _NAMES)).select("file_no", "long_name", "n")
+
+
+@query(f"""SELECT p_type AS long_name, coalesce(n.system_name, CASE WHEN length(p_type) <= 10 THEN p_type END) AS system_name FROM (SELECT DISTINCT p_type FROM part) LEFT JOIN
+  ({_values([("PROMO", "P1"), ("ECONOMY ANODIZED STEEL", "P2")])}) n(long_name, system_name) ON n.long_name = p_type""")
+def resolve_system_names(spark, d):
+    """From long names to system names; one that is too long to be one, and unknown, has none."""
+    names = _rows(spark, "schema string, long_name string, system_name string", [("LIB", "PROMO", "P1"), ("LIB", "ECONOMY ANODIZED STEEL", "P2"), ("OTHER", "SMALL", "P3")])
+    asked = table(spark, d, "part").select(F.lit("LIB").alias("schema"), F.col("p_type").alias("long_name")).distinct()
+    return catalog_tables.system_names(asked, names).select("long_name", "system_name")
 
 
 @query(f"SELECT seq, c.\"column\", place FROM J LEFT JOIN {_COLUMNS_SQL} ON c.\"table\" = 'F' || file_no WHERE code = 'R.PT'")
 def attach_schema(spark, d):
     cols = _rows(spark, _COLUMNS_DDL, _COLUMNS).select("table", "column", "place")
     j = journal(spark, d).where("code = 'R.PT'").withColumn("table", F.concat(F.lit("F"), F.col("file_no").cast("string")))
-    return j.join(F.broadcast(cols), "table", "left").select("seq", "column", "place")
+    return j.join(cols, "table", "left").select("seq", "column", "place")
 
 
 @query(f"SELECT c.\"table\", c.\"column\", place FROM {_COLUMNS_SQL} JOIN ({_values(_KEYS)}) k(s, t, col) ON k.s = c.\"schema\" AND k.t = c.\"table\" AND k.col = c.\"column\"")
@@ -416,11 +492,19 @@ def parse_includes(spark, d):
     return catalog_tables.parse_includes(_rows(spark, "includes string", _INCLUDES), "main")
 
 
+@query("SELECT * FROM (VALUES ('app', 'orders', 'orders'), ('app', 'items', 'items'), ('main', 'parts', 'parts'), ('app', 'customer_accounts', 'CUST1')) t(\"schema\", \"table\", system_name)")
+def short_includes(spark, d):
+    """Included tables by their system names; one that has none is dropped."""
+    names = _rows(spark, "schema string, long_name string, system_name string", [("app", "customer_accounts", "CUST1")])
+    listed = _rows(spark, "includes string", [("db.app.orders, app.items,parts",), ("app.customer_accounts, app.unknown_long_name, ",), (None,)])
+    return catalog_tables.short_includes(listed, names, "main")
+
+
 @query("SELECT * FROM (VALUES ('b.new'), ('c.other')) t(item)")
 def new_tables(spark, d):
     """Tables that the new include list has and the old one hadn't."""
-    listed = lambda text: _rows(spark, "l string", [(text,)]).select(F.explode(F.split("l", " *, *")).alias("item"))
-    return listed("a.one, b.new, c.other").exceptAll(listed("a.one"))
+    listed = lambda text: _rows(spark, "includes string", [(text,)])
+    return first_image.new_tables(listed("a.one"), listed("a.one, b.new, c.other"))
 
 
 _SCHEMAS = [("QSYS", "T1"), ("QSYS2", "T2"), ("app", "T3"), ("qsys2", "T4"), ("QGPL", "T5")]
@@ -428,14 +512,15 @@ _SCHEMAS = [("QSYS", "T1"), ("QSYS2", "T2"), ("app", "T3"), ("qsys2", "T4"), ("Q
 
 @query(f"SELECT * FROM ({_values(_SCHEMAS)}) t(\"schema\", \"table\") WHERE upper(\"schema\") NOT IN ('QSYS', 'QSYS2')")
 def filter_system(spark, d):
-    return _rows(spark, "schema string, `table` string", _SCHEMAS).where(~F.upper("schema").isin("QSYS", "QSYS2"))
+    return first_image.user_schemas(_rows(spark, "schema string, `table` string", _SCHEMAS))
 
 
 @query(f"SELECT DISTINCT 'F' || file_no AS \"table\" FROM J WHERE file_no IN ({FILES_SQL}) AND file_no < 7 ORDER BY 1")
 def captured_tables(spark, d):
     """All tables that are both requested and let through by the filter."""
     name = F.concat(F.lit("F"), F.col("file_no").cast("string")).alias("table")
-    return journal(spark, d).where(F.col("file_no").isin(INCLUDED)).select(name).intersect(journal(spark, d).where("file_no < 7").select(name)).orderBy("table")
+    j = journal(spark, d)
+    return first_image.captured(j.select(name), j.where(F.col("file_no").isin(INCLUDED)).select(name), lambda t: t < "F7")
 
 
 _KINDS = [("DECIMAL", 9, 2), ("NUMERIC", 5, 0), ("SMALLINT", 2, 0), ("VARCHAR", 20, 0), ("CHAR () FOR BIT DATA", 10, 0), ("VARCHAR (20) FOR BIT DATA", 20, 0), ("TIMESTAMP", 26, 0), ("DATALINK", 9, 0), ("DOUBLE", 8, 0), ("XML", 44, 0)]
@@ -453,7 +538,7 @@ _MODES = [("initial", True, False), ("initial", True, True), ("initial", False,
 @query(f"SELECT mode, done, added, CASE WHEN done AND NOT added THEN 'skip' WHEN mode IN ('initial', 'when_needed') THEN 'data' ELSE 'schema' END AS task FROM ({_values([(a, str(b).lower() == 'true', c) for a, b, c in _MODES])}) t(mode, done, added)")
 def snapshot_mode(spark, d):
     rows = _rows(spark, "mode string, done boolean, added boolean", _MODES)
-    return rows.withColumn("task", F.when(F.col("done") & ~F.col("added"), "skip").when(F.col("mode").isin("initial", "when_needed"), "data").otherwise("schema"))
+    return rows.withColumn("task", first_image.task(F.col("done"), F.col("added"), F.col("mode")))
 
 
 # --- functions ------------------------------------------------------------
@@ -505,6 +590,22 @@ def fn_binary_int(spark, d):
     return table(spark, d, "orders").select("o_orderkey", fn.big_endian(raw).alias("decoded"))
 
 
+@query("SELECT c_custkey, c_name AS text, c_custkey - 500 AS signed, CAST(c_custkey AS BIGINT) * 1000000007 AS big FROM customer")
+def fn_binary(spark, d):
+    """Text of page 37, a signed number of four bytes, a number in twenty digits."""
+    ship(spark)
+
+    def stored(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            rows = [(codec.encode_text(n.ljust(30), 37), (k - 500).to_bytes(4, "big", signed=True), str(k * 1000000007).rjust(20, "0")) for k, n in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+            yield pa.record_batch([b.column(0), *map(pa.array, zip(*rows, strict=True))], names=["c_custkey", "t", "n", "z"])
+
+    raw = table(spark, d, "customer").select("c_custkey", "c_name").mapInArrow(stored, "c_custkey long, t binary, n binary, z string")
+    return raw.select("c_custkey", fn.ebcdic(F.col("t")).alias("text"), fn.signed_big_endian(F.col("n"), 4).alias("signed"), fn.big_number(F.col("z")).cast("long").alias("big"))
+
+
 @query("SELECT c_custkey, hex(c_name) AS dump FROM customer")
 def fn_hex(spark, d):
     return table(spark, d, "customer").select("c_custkey", F.hex(F.encode("c_name", "UTF-8")).alias("dump"))
@@ -515,8 +616,8 @@ def fn_status(spark, d):
     return receivers(spark, d).select("rcv", chain.status_name(F.col("status")).alias("status"))
 
 
-_DEFAULTS = [("DATE", "'2020-01-02'"), ("TIMESTAMP", "2020-01-02-03.04.05.000006"), ("DECIMAL", "1.005"), ("DECIMAL", "x"), ("INTEGER", " 12 "), ("CHAR", "'abc'"), ("TIMESTAMP", "CURRENT_TIMESTAMP"), ("BOOLEAN", "1"), ("CHAR", "NULL")]
-_PARSED = ["18263", "1577934245", "1.01", None, "12", "abc", None, "true", None]
+_DEFAULTS = [("DATE", "'2020-01-02'"), ("TIMESTAMP", "2020-01-02-03.04.05.000006"), ("DECIMAL", "1.005"), ("DECIMAL", "x"), ("INTEGER", " 12 "), ("CHAR", "'abc'"), ("TIMESTAMP", "CURRENT_TIMESTAMP"), ("BOOLEAN", "1"), ("CHAR", "NULL"), ("TIME", "'03.04.05'"), ("NUMERIC", "-2.345"), ("VARBINARY", "'ab'"), ("BIGINT", "9000000000"), ("DOUBLE", "1.5")]
+_PARSED = ["18263", "1577934245", "1.01", None, "12", "abc", None, "true", None, "11045", "-2.35", "6162", "9000000000", "1.5"]
 
 
 @query(f"SELECT * FROM ({_values([(*a, b) for a, b in zip(_DEFAULTS, _PARSED, strict=True)])}) t(kind, raw, parsed)")
@@ -532,20 +633,26 @@ def fn_topic(spark, d):
 # --- binary records -------------------------------------------------------
 
 FIELDS = [
-    codec.Field("id", "integer"), codec.Field("amount", "packed", 9, 2), codec.Field("rate", "zoned", 5, 3), codec.Field("name", "char", 20), codec.Field("note", "varchar", 20), codec.Field("ratio", "double"),
+    codec.Field("id", "integer"), codec.Field("amount", "packed", 9, 2), codec.Field("rate", "zoned", 5, 3), codec.Field("name", "char", 25), codec.Field("note", "varchar", 20, ccsid=285), codec.Field("ratio", "double"),
+    codec.Field("wide", "varchar", 25, ccsid=13488), codec.Field("day", "date"), codec.Field("clock", "time"), codec.Field("moment", "timestamp"), codec.Field("picture", "xml"), codec.Field("raw", "varbinary", 4),
 ]
-_RECORD_DDL = "id int, amount decimal(9,2), rate decimal(5,3), name string, note string, ratio double, decode_error string"
 
 
 def _records(spark, d):
     """Customers as fixed-layout records."""
+    import datetime as dt
+
     import pyarrow as pa
 
+    ship(spark)
+
     def run(batches):
         for b in batches:
             out = []
             for r in b.to_pylist():
-                row = {"id": r["c_custkey"], "amount": round(r["c_acctbal"], 2), "rate": 1.5, "name": r["c_name"][:20], "note": r["c_mktsegment"], "ratio": r["c_acctbal"]}
+                k = r["c_custkey"]
+                at = dt.datetime(2000, 1, 1) + dt.timedelta(days=k, hours=k % 24, seconds=k, microseconds=k % 1000)
+                row = {"id": k, "amount": round(r["c_acctbal"], 2), "rate": 1.5, "name": r["c_name"], "note": r["c_mktsegment"], "ratio": r["c_acctbal"], "wide": r["c_name"], "day": at, "clock": at, "moment": at, "picture": "", "raw": bytes([k % 256])}
                 row |= {k: codec.Decimal(str(row[k])) for k in ("amount", "rate")}
                 out.append(codec.encode_record(FIELDS, row))
             yield pa.record_batch([b.column(0), pa.array(out, pa.binary())], names=["c_custkey", "record"])
@@ -553,28 +660,34 @@ def _records(spark, d):
     return table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_name", "c_mktsegment").mapInArrow(run, "c_custkey long, record binary")
 
 
-@query("SELECT CAST(c_custkey AS INT) AS id, round(c_acctbal, 2) AS amount, CAST(1.5 AS DOUBLE) AS rate, rpad(c_name, 20, ' ') AS name, c_mktsegment AS note, c_acctbal AS ratio, CAST(NULL AS VARCHAR) AS decode_error FROM customer")
-def decode_row(spark, d):
-    import pyarrow as pa
+_AT = "(TIMESTAMP '2000-01-01' + to_days(CAST(c_custkey AS INT)) + to_hours(c_custkey % 24) + to_seconds(c_custkey) + to_microseconds(c_custkey % 1000))"
 
-    schema = pa.schema([("id", pa.int32()), ("amount", pa.decimal128(9, 2)), ("rate", pa.decimal128(5, 3)), ("name", pa.string()), ("note", pa.string()), ("ratio", pa.float64()), ("decode_error", pa.string())])
-    return _records(spark, d).select("record").mapInArrow(codec.arrow_decoder(FIELDS, "record", schema), _RECORD_DDL).withColumns({c: F.col(c).cast("double") for c in ("amount", "rate")})
+
+@query(f"""SELECT CAST(c_custkey AS INT) AS id, round(c_acctbal, 2) AS amount, CAST(1.5 AS DOUBLE) AS rate, rpad(c_name, 25, ' ') AS name, c_mktsegment AS note, c_acctbal AS ratio, c_name AS wide, strftime({_AT}, '%Y-%m-%d') AS day,
+  strftime({_AT}, '%H:%M:%S') AS clock, strftime({_AT}, '%Y-%m-%d %H:%M:%S.%f') AS moment, '' AS picture, lpad(hex(c_custkey % 256), 2, '0') AS raw, CAST(NULL AS VARCHAR) AS decode_error FROM customer""")
+def decode_row(spark, d):
+    rows = codec.decode_records(_records(spark, d).select("record"), FIELDS)
+    rows = rows.withColumns({c: F.col(c).cast("double") for c in ("amount", "rate")} | {"day": F.col("day").cast("string"), "raw": F.hex("raw")})
+    return rows.withColumn("moment", F.date_format("moment", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 def _blocks(spark, d):
-    """The journal as binary blocks of one segment each."""
+    """The journal as binary blocks of one segment each; the first entry names its segment."""
     import pandas as pd
 
+    ship(spark)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq")
-        entries = [codec.encode_entry({"sequence": s, "commit_cycle": c}, {"journal_code": k[0], "entry_type": k[2:], "object": f"{'F' + str(f):10}{'LIB':10}{'MEM':10}"}) for s, c, k, f in zip(pdf["seq"], pdf["cycle"], pdf["code"], pdf["file_no"], strict=True)]
-        return pd.DataFrame({"block": [codec.encode_block(entries, False, f"RCV{pdf['rcv'].iat[0]:05}", "LIB", int(pdf["seq"].iat[-1]))]})
+        name = f"RCV{pdf['rcv'].iat[0]:05}"
+        rows = zip(pdf["seq"], pdf["cycle"], pdf["code"], pdf["file_no"], strict=True)
+        entries = [codec.encode_entry({"sequence": s, "commit_cycle": c}, {"journal_code": k[0], "entry_type": k[2:], "object": f"{'F' + str(f):10}{'LIB':10}{'MEM':10}"}, None if i else (name, "LIB")) for i, (s, c, k, f) in enumerate(rows)]
+        return pd.DataFrame({"block": [codec.encode_block(entries, False, name, "LIB", int(pdf["seq"].iat[-1]))]})
 
     return journal(spark, d).select("rcv", "seq", "cycle", "code", "file_no").groupBy("rcv").applyInPandas(run, "block binary")
 
 
-@query("SELECT 'RCV' || lpad(CAST(rcv AS VARCHAR), 5, '0') AS receiver, CAST(count(*) AS INT) AS entries, max(seq) AS seq, CAST(46 + 8 - 1 + count(*) * 219 AS INT) AS total_bytes FROM J GROUP BY rcv")
-def decode_first_header(spark, d):
+def _first_headers(spark, d):
     import pandas as pd
 
     @F.pandas_udf("receiver string, entries int, seq long, total_bytes int")
@@ -584,11 +697,33 @@ def decode_first_header(spark, d):
     return _blocks(spark, d).select(first("block").alias("h")).select("h.*")
 
 
-@query("SELECT seq AS sequence, cycle AS commit_cycle, code, 'F' || rpad(CAST(file_no AS VARCHAR), 9, ' ') || 'LIB       MEM' AS object, '' AS job, '' AS \"user\" FROM J")
+@query("SELECT 'RCV' || lpad(CAST(rcv AS VARCHAR), 5, '0') AS receiver, CAST(count(*) AS INT) AS entries, max(seq) AS seq, CAST(46 + 8 - 1 + 32 + count(*) * 219 AS INT) AS total_bytes FROM J GROUP BY rcv")
+def decode_first_header(spark, d):
+    return _first_headers(spark, d)
+
+
+@query("""SELECT seq AS sequence, cycle AS commit_cycle, code, 'F' || rpad(CAST(file_no AS VARCHAR), 9, ' ') || 'LIB       MEM' AS object, '' AS job, '' AS "user",
+  CASE WHEN rseq = min(rseq) OVER (PARTITION BY rcv) THEN 'RCV' || lpad(CAST(rcv AS VARCHAR), 5, '0') END AS receiver, CASE WHEN rseq = min(rseq) OVER (PARTITION BY rcv) THEN 'LIB' END AS library FROM J""")
 def decode_entry_header(spark, d):
     return codec.explode_blocks(_blocks(spark, d))
 
 
+@query("SELECT 'RCV' || lpad(CAST(rcv AS VARCHAR), 5, '0') AS name, 'LIB' AS library, strftime(date_trunc('second', attached), '%Y-%m-%d %H:%M:%S') AS attached, status, CAST((rcv // 10) % 100 AS INT) AS chain FROM R")
+def decode_receiver_info(spark, d):
+    """Lists of receivers as bytes, and their entries."""
+    import pandas as pd
+
+    ship(spark)
+
+    @F.pandas_udf("binary")
+    def listed(rcv: pd.Series, status: pd.Series, attached: pd.Series) -> pd.Series:
+        row = lambda r, s, a: {"name": f"RCV{r:05}", "library": "LIB", "number": f"{r // 10 % 100:02}000", "attached": f"{a.year // 100 - 19}{a:%y%m%d%H%M%S}", "status": s, "size": 1}
+        return pd.Series([codec.encode_receivers([row(*x)]) for x in zip(rcv, status, attached, strict=True)])
+
+    lists = receivers(spark, d).select(listed("rcv", "status", "attached").alias("receivers"))
+    return codec.explode_receivers(lists).withColumn("attached", F.date_format("attached", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE c_name END AS c_name, CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer")
 def null_overlay(spark, d):
     """An indicator of 1 makes a field null; 0 and 9 leave it."""
@@ -604,25 +739,32 @@ def decode_varchar(spark, d):
     return x.select("c_custkey", F.decode(F.expr("substring(x, 3, cast(conv(hex(substring(x, 1, 2)), 16, 10) as int))"), "UTF-8").alias("decoded"))
 
 
-@query("SELECT c_custkey, c_name AS declared, c_name AS actual FROM customer")
+_SIGNS = "£$[^~¢¯"
+
+
+@query(f"SELECT c_custkey, translate('{_SIGNS}' || c_name, '{_SIGNS}', '$¢£[¯^~') AS declared, '{_SIGNS}' || c_name AS actual FROM customer")
 def ccsid_override(spark, d):
-    """Text stored in one code page and declared in another, read as declared and as stored."""
-    import pandas as pd
+    """Text stored in page 1146 in a column that declares page 37, read as declared and as stored."""
+    ship(spark)
+    field = codec.Field("text", "varchar", 40, ccsid=37)
 
-    @F.pandas_udf("string")
-    def stored(x: pd.Series) -> pd.Series:
-        return x.map(lambda s: s.encode("cp500").decode(codec.page(37, (37, 500))))
+    def stored(batches):
+        import pyarrow as pa
 
-    c = table(spark, d, "customer")
-    return c.select("c_custkey", F.col("c_name").alias("declared"), stored("c_name").alias("actual"))
+        for b in batches:
+            rows = [(len(_SIGNS + n).to_bytes(2, "big") + codec.encode_text(_SIGNS + n, 1146)).ljust(field.size, b"\0") for n in b.column(1).to_pylist()]
+            yield pa.record_batch([b.column(0), pa.array(rows, pa.binary())], names=["c_custkey", "record"])
 
+    rows = table(spark, d, "customer").select("c_custkey", "c_name").mapInArrow(stored, "c_custkey long, record binary")
+    read = lambda name, override: codec.decode_records(rows, [field], override=override).select("c_custkey", F.col("text").alias(name))
+    return read("declared", None).join(read("actual", (37, 1146)), "c_custkey")
 
-@query()
+
+@query("SELECT * FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'), (2, 'o_orderstatus', 'string'), (3, 'o_totalprice', 'double'), (4, 'o_orderdate', 'timestamp_ntz'), (5, 'o_orderpriority', 'string')) t(place, name, kind)")
 def schema_roundtrip(spark, d):
-    """A schema as catalogue rows, and from them as DDL again."""
-    fields = table(spark, d, "orders").schema.fields
-    rows = _rows(spark, "place int, name string, kind string, nullable boolean", [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(fields)])
-    return rows.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "name", "kind"))), lambda x: F.concat(x["name"], F.lit(" "), x["kind"])), ", ").alias("ddl"))
+    """A schema as catalogue rows, and from them as a schema again."""
+    back = catalog_tables.struct_of(catalog_tables.catalogue_of(table(spark, d, "orders").schema))
+    return _rows(spark, "place int, name string, kind string", [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(back)])
 
 
 # --- record transforms ----------------------------------------------------
@@ -631,7 +773,7 @@ def schema_roundtrip(spark, d):
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def smt_lowercase(spark, d):
     n = table(spark, d, "nation")
-    return n.toDF(*(c.upper() for c in n.columns)).toDF(*(c.lower() for c in n.columns))
+    return transforms.lower_case_all(n.toDF(*(c.upper() for c in n.columns)), "com.foo.Nation")[0]
 
 
 _TOPICS = [("FOO.BAR.TOPIC", "myschema.topic"), ("TOPIC", "myschema.topic"), ("TOPIC.", "myschema.")]
@@ -639,7 +781,7 @@ _TOPICS = [("FOO.BAR.TOPIC", "myschema.topic"), ("TOPIC", "myschema.topic"), ("T
 
 @query(f"SELECT * FROM ({_values(_TOPICS)}) t(topic, moved)")
 def smt_topic(spark, d):
-    return _rows(spark, "topic string, moved string", _TOPICS).select("topic", fn.topic_of_table(F.col("topic"), "myschema").alias("moved"))
+    return transforms.TopicRePrefix("myschema")(_rows(spark, "topic string, moved string", _TOPICS).select(F.col("topic").alias("was"), "topic")).select(F.col("was").alias("topic"), F.col("topic").alias("moved"))
 
 
 _SCHEMA_NAMES = [("db.com.schema.TABLE.Key", "com.acme.TableKey"), ("db.com.schema.ORDER_LINES.Value", "com.acme.OrderLinesValue"), ("plain", "plain")]
@@ -656,9 +798,32 @@ def unwrap_rewrite(spark, d):
     return feed.change_events(journal(spark, d)).select("seq", F.coalesce("after", "before").alias("value"), (F.col("op") == "DELETE").alias("__deleted"))
 
 
-@query()
+_EVENTS_SQL = f"""SELECT t.seq, CASE code WHEN 'R.PT' THEN 'CREATE' WHEN 'R.UP' THEN 'UPDATE' ELSE 'DELETE' END AS op,
+  CASE code WHEN 'R.UP' THEN p.before WHEN 'R.DL' THEN value END AS before, CASE WHEN code != 'R.DL' THEN value END AS after, tx
+  FROM ({_TX_SQL}) t LEFT JOIN ({_PAIRED_SQL}) p ON p.seq = t.seq WHERE code IN ('R.PT', 'R.UP', 'R.DL') AND t.file_no IN ({FILES_SQL})"""
+
+
+def _sunk(spark, d, kind):
+    """Events written in a format and read again."""
+    path = fresh_path(spark, f"sink-{kind}")
+    events = feed.change_events(journal(spark, d), INCLUDED).select("seq", "op", "before", "after", "tx")
+    feeds.write_events(events, kind, path)
+    return spark.read.schema(events.schema).format(kind).load(path)
+
+
+@query(_EVENTS_SQL)
 def sink_json(spark, d):
-    return feed.change_events(journal(spark, d), INCLUDED).select("seq", F.to_json(F.struct("op", "before", "after", "tx")).alias("value"))
+    return _sunk(spark, d, "json")
+
+
+@query(_EVENTS_SQL)
+def sink_csv(spark, d):
+    return _sunk(spark, d, "csv")
+
+
+@query(_EVENTS_SQL)
+def sink_orc(spark, d):
+    return _sunk(spark, d, "orc")
 
 
 # --- health, logs, streams ------------------------------------------------
@@ -668,18 +833,17 @@ _STATES = [("c1", 200, "RUNNING", "RUNNING"), ("c1", 200, "RUNNING", "UNASSIGNED
 
 @query(f"SELECT connector, bool_and(http = 200 AND state IN ('RUNNING', 'UNASSIGNED') AND task IN ('RUNNING', 'UNASSIGNED')) AS ok FROM ({_values(_STATES)}) t(connector, http, state, task) GROUP BY 1")
 def health_rollup(spark, d):
-    fine = (F.col("http") == 200) & F.col("state").isin("RUNNING", "UNASSIGNED") & F.col("task").isin("RUNNING", "UNASSIGNED")
-    return _rows(spark, "connector string, http int, state string, task string", _STATES).groupBy("connector").agg(F.bool_and(fine).alias("ok"))
+    return health.health(_rows(spark, "connector string, http int, state string, task string", _STATES))
 
 
-@query()
+@query("""SELECT '{"message":"segment read","data":{"rcv":' || rcv || ',"entries":' || entries || '}}' AS line FROM R""")
 def structured_log(spark, d):
-    return receivers(spark, d).select(F.to_json(F.struct(F.lit("segment read").alias("message"), F.struct("rcv", "entries").alias("data"))).alias("line"))
+    return receivers(spark, d).select(health.log_line("segment read", rcv=F.col("rcv"), entries=F.col("entries")).alias("line"))
 
 
 @query(_PAIRED_SQL)
 def stream_pair(spark, d):
-    return changes.run_to_end(changes.pair_stream(changes.as_stream(journal(spark, d))), "pairs").select("seq", "file_no", "before", F.nullif("after", F.lit(float("nan"))).alias("after"))
+    return changes.run_to_end(changes.pair_stream(changes.as_stream(journal(spark, d))), "pairs")
 
 
 @query(f"SELECT seq, tx FROM ({_TX_SQL}) WHERE code IN ('R.PT', 'R.UP', 'R.DL')")
@@ -693,8 +857,14 @@ def stream_changes(spark, d):
     return changes.run_to_end(s.select("seq", "code", feed.kind(F.col("code")).alias("kind")), "changes")
 
 
-@query("SELECT policy, seq FROM (VALUES ('reset', 1)) t(policy, seq)")
+@query("SELECT rcv, rseq FROM J")
 def data_loss_policy(spark, d):
-    """Where reading starts again if the stored segment is gone: with 'reset' at the head of the chain; 'fail' stops."""
-    first = receivers(spark, d).agg(F.min("first_seq").alias("seq"))
-    return first.select(F.lit("reset").alias("policy"), F.col("seq").cast("int").alias("seq"))
+    """A position in a segment that is gone: with 'reset' reading starts again at the head of the chain; 'fail' stops."""
+    lost = spark.read.format("journal").option("path", _segment_files(spark, d)).option("startSegment", "seg-99999.json").option("startSeq", 5)
+    return lost.option("onDataLoss", "reset").load().selectExpr(*_OF_FILES)
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS began, code, count(*) AS n FROM J GROUP BY ALL")
+def windowed_counts(spark, d):
+    """Entries by kind in tumbling windows of entry time."""
+    return changes.windowed(journal(spark, d)).select(F.col("window.start").cast("timestamp_ntz").alias("began"), "code", "n")
