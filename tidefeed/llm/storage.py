@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidefeed.sources.scratch import fresh_path
+from tidefeed.sources.shipping import ship
 
-_shipped: set[str] = set()
+__all__ = ["apart", "cut", "cut_at", "read", "ship", "sliced"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,17 +45,3 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
     for b in batches:
         for lo in range(0, b.num_rows, rows):
             yield b.slice(lo, rows)
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="tidefeed-")) / "tidefeed.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(target))
-    _shipped.add(app)
