@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tidefeed.llm.storage import apart, ship, sliced
 
 #: Determinised steps and cached pieces that one worker keeps; beyond it, it forgets and works them out again.
-STEPS, PIECES, LONGEST_PIECE = 500_000, 250_000, 64
+STEPS, PIECES, LONGEST_PIECE = 500_000, 700_000, 64
 #: Bytes of a long piece after which settled tokens are emitted.
 CHUNK = 256
 #: Texts of which the ids are held at a time.
