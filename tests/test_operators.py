@@ -108,7 +108,7 @@ def test_config():
     c = FeedConfig.from_options({"database.hostname": "h", "database.schema": "app", "secure": "false", "from_ccsid": "37", "to_ccsid": "1146", "snapshot.mode": "never", "other": "x"})
     assert (c.schema, c.secure, c.override, c.topic_prefix, c.max_entries, c.buffer_size, c.max_journal_timeout) == ("APP", False, (37, 1146), "h", 1_000_000, 131_072, 60_000)
     assert FeedConfig().override is None and c.reader_options("p") == {"path": "p", "maxEntries": "1000000"}
-    assert c.jdbc_options("T")["dbtable"] == "APP.T" and "date format=iso" in c.jdbc_options("T")["url"]
+    assert c.jdbc_options("T", "db")["dbtable"] == "APP.T" and c.jdbc_options("T", "db")["url"].startswith("jdbc:db://h;date format=iso")
     for bad in ({"snapshot_mode": "x"}, {"max_entries": 0}):
         with pytest.raises(ValueError):
             c.with_(**bad)

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql.types import StructType
 
+from tidefeed import dump
 from tidefeed.operators.criteria import InvalidFilter
 from tidefeed.sources import segments as files
 from tidefeed.sources.reader import InvalidPosition, JournalSource, JournalStreamReader, ReadFailure, failure, register
@@ -106,3 +107,9 @@ def test_segments_are_written_in_their_order(spark, tmp_path):
     folder = files.Folder.of(str(tmp_path))
     assert [s.name for s in folder.segments()] == ["seg-00000.json", "seg-00001.json", "seg-00002.json"]
     assert [json.loads(x)["seq"] for x in (tmp_path / "seg-00001.json").read_text().splitlines()] == list(range(1, 61, 3))
+
+
+def test_dump(tmp_path):
+    write(tmp_path, [(1, 2)], extra="broken\n")
+    assert list(dump.entries(str(tmp_path), {})) == ["seg-00000.json ? broken", 'seg-00000.json 1 R.PT ADD_ROW {"file_no": 0, "value": 1.0}', 'seg-00000.json 2 C.SC START_COMMIT {"file_no": 0, "value": 1.0}']
+    assert len(list(dump.entries(str(tmp_path), {"codes": "C"}))) == 2

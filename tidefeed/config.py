@@ -74,9 +74,9 @@ class FeedConfig:
         """Options of the journal source."""
         return {"path": path, "maxEntries": str(self.max_entries)}
 
-    def jdbc_options(self, table: str) -> dict[str, str]:
-        """Options of ``spark.read.format("jdbc")`` for a snapshot; its driver is not part of this package."""
+    def jdbc_options(self, table: str, scheme: str) -> dict[str, str]:
+        """Options of ``spark.read.format("jdbc")`` for a snapshot. The driver, and the scheme of its addresses, are not part of this package."""
         timeout = {"socket timeout": self.socket_timeout} if self.socket_timeout else {}
         asked = {"date format": self.date_format, "errors": self.errors, "keep alive": str(self.keep_alive).lower(), "secure": str(self.secure).lower(), "thread used": str(self.thread_used).lower(), **timeout}
-        url = f"jdbc:as400://{self.hostname};" + ";".join(f"{k}={v}" for k, v in asked.items())
+        url = f"jdbc:{scheme}://{self.hostname};" + ";".join(f"{k}={v}" for k, v in asked.items())
         return {"url": url, "user": self.user, "password": self.password, "dbtable": f"{self.schema}.{table}" if self.schema else table}

@@ -26,6 +26,11 @@ def discover(journals: DataFrame, schema: str, tables: list[str]) -> DataFrame:
     return found
 
 
+def tables_of(spark: SparkSession, schema: str | None = None, prefix: str = "", kinds: tuple[str, ...] = ("MANAGED", "EXTERNAL", "TEMPORARY")) -> list[str]:
+    """Names of the catalogue's tables in a schema, of these kinds and with this prefix, in order."""
+    return sorted(t.name for t in spark.catalog.listTables(schema) if t.tableType in kinds and t.name.startswith(prefix))
+
+
 def snapshot(spark: SparkSession, tables: Mapping[str, DataFrame], overrides: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """Each table whole, or what its own statement selects, with ``op`` READ. A statement names its table in braces."""
     overrides = overrides or {}

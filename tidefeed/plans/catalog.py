@@ -1,6 +1,7 @@
 """All queries of the engine, each with the same in SQL where SQL can say it."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,11 +160,13 @@ def snapshot_override(spark, d):
     return first_image.snapshot(spark, {"customer": table(spark, d, "customer")}, own)["customer"]
 
 
-@query()
+@query("SELECT 'tidefeed_nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'tidefeed_region', count(*) FROM region")
 def catalog_tables_list(spark, d):
-    """Tables that the session's catalogue has in a schema."""
-    table(spark, d, "region").createOrReplaceTempView("tidefeed_region")
-    return _rows(spark, "name string", [(t.name,) for t in spark.catalog.listTables() if t.name == "tidefeed_region"])
+    """Tables that the session's catalogue has under a prefix, and their sizes."""
+    for name in ("region", "nation"):
+        table(spark, d, name).createOrReplaceTempView(f"tidefeed_{name}")
+    each = [spark.table(t).agg(F.lit(t).alias("name"), F.count("*").alias("n")) for t in first_image.tables_of(spark, prefix="tidefeed_")]
+    return reduce(DataFrame.unionByName, each)
 
 
 @query("SELECT seq, code FROM J WHERE rcv BETWEEN 2 AND 4")
