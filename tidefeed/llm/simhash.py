@@ -7,8 +7,9 @@ within R + t. If x and y differ in at most t bits, y has a copy at x's home, so
 comparing the residents of an anchor with all of its copies finds every link.
 
 An anchor with more residents than ``hot_anchor`` is refined by the next 23 bits,
-whose excess over R counts against the same t; so its work is dealt out and no
-link is lost.
+whose excess over R counts against the same t. What then still has so many has its
+residents dealt over several tasks, each of which sees all copies; so the work is
+dealt out and no link is lost.
 """
 
 from __future__ import annotations
@@ -103,15 +104,18 @@ def _block(fps: np.ndarray, k: int) -> np.ndarray:
     return (fps >> np.uint64(LENGTH * k) & np.uint64((1 << LENGTH) - 1)).astype(np.uint32)
 
 
-def _to_anchors(fps: DataFrame, t: int, hot: frozenset[int], home_only: bool = False) -> DataFrame:
+def _to_anchors(fps: DataFrame, t: int, hot: frozenset[int], parts: dict[int, int] | None = None) -> DataFrame:
+    """``(anchor, fp, home)``: every copy, at a refined anchor where the anchor is ``hot``, and at each of the ``parts`` of an anchor."""
     hot_ids = np.array(sorted(hot), np.uint32)
+    dealt = np.array(sorted(parts or {}), np.int64)
+    numbers = np.array([parts[k] for k in dealt.tolist()] if parts else [], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 2000):
                 fp = b.column(0).slice(lo, 2000).to_numpy(zero_copy_only=False)
                 x = fp.view(np.uint64)
-                who, anchor, excess = _copies(_block(x, 0), 0 if home_only else t)
+                who, anchor, excess = _copies(_block(x, 0), t)
                 key, home = anchor.astype(np.int64), excess == 0
                 if len(hot_ids):
                     deep = np.isin(anchor, hot_ids)
@@ -121,6 +125,14 @@ def _to_anchors(fps: DataFrame, t: int, hot: frozenset[int], home_only: bool = F
                     who = np.concatenate([who[~deep], who[deep][again]])
                     key = np.concatenate([key[~deep], (key[deep][again] + 1 << 12) + second])
                     home = np.concatenate([home[~deep], home[deep][again] & (more == 0)])
+                if len(dealt):
+                    at = np.minimum(np.searchsorted(dealt, key), len(dealt) - 1)
+                    n = np.where(dealt[at] == key, numbers[at], 1)
+                    row = np.repeat(np.arange(len(key)), n)
+                    part = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                    who, key = who[row], key[row] + (part << 32)
+                    own = (_spread(x)[who] >> np.uint64(20)).astype(np.int64) % n[row]
+                    home = home[row] & (own == part)
                 yield pa.record_batch([pa.array(key), pa.array(fp[who]), pa.array(home)], names=["anchor", "fp", "home"])
 
     return fps.select("fp").mapInArrow(run, "anchor long, fp long, home boolean")
@@ -185,10 +197,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3, hot_anchor:
     """
     prints = cut(fingerprints(docs, words), "fingerprints")
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    home = _to_anchors(distinct, bits, frozenset(), home_only=True)
-    # At most 4096 anchors, so at most as many rows.
-    hot = frozenset(r[0] for r in home.groupBy("anchor").count().where(F.col("count") > hot_anchor).collect())
-    linked = components(_compare(_to_anchors(distinct, bits, hot), bits)).withColumnRenamed("node", "fp")
+    residents = lambda hot: _to_anchors(distinct, 0, hot).groupBy("anchor").count().where(F.col("count") > hot_anchor).collect()
+    # At most 4096 anchors, so at most as many rows; refined ones, as many as there are fingerprints over hot_anchor.
+    hot = frozenset(r["anchor"] for r in residents(frozenset()))
+    parts = {r["anchor"]: -(-r["count"] // hot_anchor) for r in residents(hot)} if hot else {}
+    linked = components(_compare(_to_anchors(distinct, bits, hot, parts), bits)).withColumnRenamed("node", "fp")
     members = cut(distinct.join(linked, "fp"), "members")
     low = members.groupBy("root").agg(F.min("first_id").alias("low_id"))
     by_print = distinct.join(members.join(low, "root").select("fp", "low_id"), "fp", "left").select("fp", F.coalesce("low_id", "first_id").alias("component_id"))
