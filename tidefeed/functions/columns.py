@@ -73,6 +73,11 @@ def ebcdic(x: Column) -> Column:
     return F.rtrim(F.translate(F.decode(x, "ISO-8859-1"), source, bytes(range(256)).decode("cp037")))
 
 
+def object_parts(x: Column) -> list[Column]:
+    """``file``, ``library`` and ``member`` of an object name: ten characters each, filled with spaces."""
+    return [trim_controls(F.substring(x, at, 10)).alias(n) for n, at in (("file", 1), ("library", 11), ("member", 21))]
+
+
 def topic(prefix: str, parts: list[Column]) -> Column:
     """prefix.part.part; characters that no topic may have become an underscore."""
     return F.regexp_replace(F.concat_ws(".", F.lit(prefix), *parts), "[^A-Za-z0-9._-]", "_")

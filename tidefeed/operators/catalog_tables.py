@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +56,11 @@ def short_includes(includes: DataFrame, names: DataFrame, default_schema: str) -
     return system_names(items, names).where("system_name IS NOT NULL").withColumnRenamed("long_name", "table")
 
 
+def without_columns(rows: DataFrame, patterns: list[str]) -> DataFrame:
+    """The table without the columns whose whole name one of the patterns matches, in whatever letters."""
+    return rows.select(*(F.col(f"`{c}`") for c in rows.columns if not any(re.fullmatch(p, c, re.IGNORECASE) for p in patterns)))
+
+
 def struct_of(columns: list[tuple[str, str, int, int, bool]]) -> T.StructType:
     """Spark's schema of catalogue rows ``(name, type, length, scale, nullable)`` in their order; UnknownType as the decoders raise it."""
     out = T.StructType()

@@ -438,8 +438,7 @@ _KEYS = [("LIB", "F1", "ID"), ("LIB", "F2", "ID"), ("LIB", "F9", "ID")]
 def split_object(spark, d):
     """File, library and member out of the 30 characters of an object name."""
     name = F.concat(F.rpad(F.concat(F.lit("F"), F.col("file_no").cast("string")), 10, " "), F.rpad(F.lit("LIB"), 10, " "), F.rpad(F.concat(F.lit("M"), (F.col("seq") % 3).cast("string")), 10, " "))
-    o = journal(spark, d).select("seq", name.alias("o"))
-    return o.select("seq", *(F.rtrim(F.substring("o", at, 10)).alias(n) for n, at in (("file", 1), ("library", 11), ("member", 21))))
+    return journal(spark, d).select("seq", *fn.object_parts(name))
 
 
 @query(f"SELECT file_no, coalesce(n.long_name, 'F' || file_no) AS long_name, count(*) AS n FROM J LEFT JOIN ({_values(_NAMES)}) n(system_name, long_name) ON n.system_name = 'F' || file_no GROUP BY ALL")
@@ -482,9 +481,10 @@ def bytes_per_char(spark, d):
     return catalog_tables.bytes_per_char(_rows(spark, _COLUMNS_DDL, _COLUMNS)).select("table", "column", "bytes_per_char")
 
 
-@query(f"SELECT \"table\", \"column\" FROM {_COLUMNS_SQL} WHERE \"column\" NOT LIKE 'N%'")
+@query("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
 def project_columns(spark, d):
-    return _rows(spark, _COLUMNS_DDL, _COLUMNS).where("NOT startswith(`column`, 'N')").select("table", "column")
+    """A table without the columns that a list of patterns leaves out."""
+    return catalog_tables.without_columns(table(spark, d, "orders"), ["o_cust.*", "o_order(status|date)"])
 
 
 _INCLUDES = [("db.app.orders, app.items,parts",), ("app.audit",)]
@@ -510,12 +510,11 @@ def new_tables(spark, d):
     return first_image.new_tables(listed("a.one"), listed("a.one, b.new, c.other"))
 
 
-_SCHEMAS = [("QSYS", "T1"), ("QSYS2", "T2"), ("app", "T3"), ("qsys2", "T4"), ("QGPL", "T5")]
-
-
-@query(f"SELECT * FROM ({_values(_SCHEMAS)}) t(\"schema\", \"table\") WHERE upper(\"schema\") NOT IN ('QSYS', 'QSYS2')")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 NOT IN (0, 1)")
 def filter_system(spark, d):
-    return first_image.user_schemas(_rows(spark, "schema string, `table` string", _SCHEMAS))
+    """Tables outside the system's schemas, in whatever letters these are written."""
+    schema = F.element_at(F.array(*map(F.lit, ("QSYS", "qsys2", "app", "QGPL"))), (F.col("c_custkey") % 4 + 1).cast("int")).alias("schema")
+    return first_image.user_schemas(table(spark, d, "customer").select("c_custkey", "c_name", schema)).drop("schema")
 
 
 @query(f"SELECT DISTINCT 'F' || file_no AS \"table\" FROM J WHERE file_no IN ({FILES_SQL}) AND file_no < 7 ORDER BY 1")
@@ -779,20 +778,22 @@ def smt_lowercase(spark, d):
     return transforms.lower_case_all(n.toDF(*(c.upper() for c in n.columns)), "com.foo.Nation")[0]
 
 
-_TOPICS = [("FOO.BAR.TOPIC", "myschema.topic"), ("TOPIC", "myschema.topic"), ("TOPIC.", "myschema.")]
-
-
-@query(f"SELECT * FROM ({_values(_TOPICS)}) t(topic, moved)")
+@query("SELECT DISTINCT 'Db.LIB.' || upper(replace(p_type, ' ', '_')) AS topic, 'myschema.' || lower(replace(p_type, ' ', '_')) AS moved FROM part")
 def smt_topic(spark, d):
-    return transforms.TopicRePrefix("myschema")(_rows(spark, "topic string, moved string", _TOPICS).select(F.col("topic").alias("was"), "topic")).select(F.col("was").alias("topic"), F.col("topic").alias("moved"))
+    """Topics of tables under another prefix."""
+    topics = table(spark, d, "part").select(F.concat(F.lit("Db.LIB."), F.upper(F.regexp_replace("p_type", " ", "_"))).alias("was")).distinct().withColumn("topic", F.col("was"))
+    return transforms.TopicRePrefix("myschema")(topics).select(F.col("was").alias("topic"), F.col("topic").alias("moved"))
 
 
-_SCHEMA_NAMES = [("db.com.schema.TABLE.Key", "com.acme.TableKey"), ("db.com.schema.ORDER_LINES.Value", "com.acme.OrderLinesValue"), ("plain", "plain")]
+_CAMEL_SQL = "list_aggregate(list_transform(list_filter(string_split(upper(replace(p_type, ' ', '_')), '_'), lambda x: x != ''), lambda x: upper(x[1:1]) || lower(x[2:])), 'string_agg', '')"
 
 
-@query(f"SELECT * FROM ({_values(_SCHEMA_NAMES)}) t(name, renamed)")
+@query(f"SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'com.acme.' || {_CAMEL_SQL} || 'Key' WHEN 1 THEN 'com.acme.' || {_CAMEL_SQL} || 'Value' ELSE 'db.' || upper(replace(p_type, ' ', '_')) END AS renamed FROM part")
 def smt_repackage(spark, d):
-    return _rows(spark, "name string, renamed string", _SCHEMA_NAMES).select("name", fn.schema_name(F.col("name"), "com.acme").alias("renamed"))
+    """Schema names of keys and values as names of a package; others stay."""
+    t, k = F.upper(F.regexp_replace("p_type", " ", "_")), F.col("p_partkey") % 3
+    name = F.when(k == 0, F.concat(F.lit("db.com.schema."), t, F.lit(".Key"))).when(k == 1, F.concat(F.lit("db.com.schema."), t, F.lit(".Value"))).otherwise(F.concat(F.lit("db."), t))
+    return table(spark, d, "part").select("p_partkey", fn.schema_name(name, "com.acme").alias("renamed"))
 
 
 @query("SELECT seq, value, code = 'R.DL' AS __deleted FROM J WHERE code IN ('R.PT', 'R.UP', 'R.DL')")
