@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidefeed.operators.ordered import neighbour, running
+from tidefeed.sources.scratch import kept
 
 
 @dataclass(frozen=True)
@@ -76,14 +77,18 @@ def refreshed(segments: list[Segment], end: Segment) -> list[Segment]:
 
 
 def indexed(receivers: DataFrame, first: str = "first_seq", last: str = "last_seq") -> DataFrame:
-    """``(seg, first, last, run, before)``: segments in their order, ``run`` counting restarts of the numbers, ``before`` the entries ahead in the run."""
+    """``(seg, first, last, run, before)``: segments in their order, ``run`` counting restarts of the numbers, ``before`` the entries ahead in the run.
+
+    A table in the shared folder: plans use it several times.
+    """
     r = receivers.select(F.col("rcv").alias("seg"), F.col(first).alias("first"), F.col(last).alias("last"))
     r = neighbour(r, "seg", "last", "_end", ahead=False)
     r = running(r, "seg", {"run": F.coalesce(F.col("first") < F.col("_end"), F.lit(False)).cast("long"), "upto": F.col("last") - F.col("first") + 1})
     ahead = r.groupBy("run").agg(F.min(F.col("upto") - (F.col("last") - F.col("first") + 1)).alias("_ahead"), F.max("upto").alias("_all"))
     r = r.join(ahead, "run")
     size = F.col("last") - F.col("first") + 1
-    return r.select("seg", "first", "last", "run", (F.col("upto") - size - F.col("_ahead")).alias("before"), (F.col("_all") - F.col("_ahead")).alias("total"))
+    found = r.select("seg", "first", "last", "run", (F.col("upto") - size - F.col("_ahead")).alias("before"), (F.col("_all") - F.col("_ahead")).alias("total"))
+    return kept(found, "segment-index")
 
 
 def find_ranges(starts: DataFrame, receivers: DataFrame, most: int, first: str = "first_seq", last: str = "last_seq") -> DataFrame:

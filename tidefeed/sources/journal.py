@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefeed.operators.ordered import neighbour
+from tidefeed.sources.scratch import kept
 
 SEGMENT, CYCLE = 1000, 50
 ATTACHED, DETACHED, PARTIAL = 1, 2, 5
@@ -55,9 +56,10 @@ def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def receivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each segment: metadata, as small as the number of segments."""
+    """One row for each segment: metadata, as small as the number of segments. The journal is read once for it, whatever is done with it."""
     stats = journal(spark, sf_dir).groupBy("rcv").agg(
         F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.min("rseq").alias("first_rseq"), F.max("rseq").alias("last_rseq"), F.count("*").alias("entries"), F.min("ts").alias("attached")
     )
+    stats = kept(stats, "segments")
     status = F.when(F.col("next_rcv").isNull(), ATTACHED).when(F.col("rcv") % 4 == 3, PARTIAL).otherwise(DETACHED)
     return neighbour(stats, "rcv", "rcv", "next_rcv").withColumn("status", status)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Taken only where one machine runs all and the session names no folder, as in tests.
 LOCAL = "file:///tmp/checkpoints"
@@ -33,6 +33,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def kept(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` written to the shared folder and read again, so that plans which use them many times work them out once."""
+    path = fresh_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that no later plan reads."""
     hadoop, files = _hadoop(spark, path)

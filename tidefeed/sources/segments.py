@@ -8,6 +8,7 @@ its bytes, as their numbers ascend.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -164,7 +165,7 @@ def write_segments(entries: DataFrame, path: str, segment: str = "rcv", seq: str
                 if k != now:
                     close()
                     now, n = k, n + 1
-                    out = (target / f".{k}-{id(b)}.tmp").open("w")
+                    out = (target / f".{k}-{uuid.uuid4().hex}.tmp").open("w")
                 out.write(x + "\n")
         close()
         yield pa.record_batch([pa.array([n], pa.int64())], names=["n"])
