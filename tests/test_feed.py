@@ -56,6 +56,16 @@ def test_pairing_by_row_and_spread_inserts(spark):
     assert events(keys=("file_no", "user_id")) == {3: (1.0, 3.0), 4: (2.0, 4.0), 5: (None, 5.0)}
 
 
+def test_stream_pairs_by_row(spark, tmp_path):
+    rows = [(1, 1, 7, "R.UB", 1.0), (2, 1, 8, "R.UB", 2.0), (3, 1, 7, "R.UP", 3.0), (4, 1, 8, "R.UP", 4.0), (5, 1, None, "R.UP", 5.0)]
+    schema = "seq long, file_no long, user_id long, code string, value double"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"file://{tmp_path}/in")
+    stream = spark.readStream.schema(schema).parquet(f"file://{tmp_path}/in")
+    got = changes.run_to_end(changes.pair_stream(stream, ("file_no", "user_id")), "pairs")
+    assert got.columns == ["seq", "file_no", "user_id", "before", "after"]
+    assert sorted(map(tuple, got.collect())) == [(3, 1, 7, 1.0, 3.0), (4, 1, 8, 2.0, 4.0), (5, 1, None, None, 5.0)]
+
+
 def test_forgotten_transactions(spark, tmp_path):
     """With a time to live, state goes by the clock; such a query has no end, so it is stopped when all is read."""
     spark.createDataFrame([(1, 1, "C.SC"), (2, 1, "R.PT"), (3, 2, "R.PT")], "seq long, cycle long, code string").write.parquet(f"file://{tmp_path}/in")

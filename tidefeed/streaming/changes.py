@@ -19,7 +19,10 @@ STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 class PairImages(StatefulProcessor):
-    """For a table, the before-image that waits for its after-image. Absent values have a flag, as pandas has no null beside NaN."""
+    """For a table, or a row of one, the before-image that waits for its after-image. Absent values have a flag, as pandas has no null beside NaN."""
+
+    def __init__(self, keys: tuple[str, ...] = ("file_no",)):
+        self.keys = keys
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.held = handle.getValueState("held", "value double, absent boolean")
@@ -33,13 +36,13 @@ class PairImages(StatefulProcessor):
                 held = (0.0 if absent else float(value), bool(absent))
             else:
                 before, missing = held or (0.0, True)
-                out.append((seq, key[0], before, missing, 0.0 if absent else value, absent))
+                out.append((seq, *key, before, missing, 0.0 if absent else value, absent))
                 held = None
         if held is None:
             self.held.clear()
         else:
             self.held.update(held)
-        yield pd.DataFrame(out, columns=["seq", "file_no", "before", "no_before", "after", "no_after"])
+        yield pd.DataFrame(out, columns=["seq", *self.keys, "before", "no_before", "after", "no_after"])
 
     def close(self) -> None:
         pass
@@ -100,12 +103,22 @@ def as_stream(entries: DataFrame, most: int = 1_000_000) -> DataFrame:
     return stream.select(F.col("number").alias("seq"), rcv.alias("rcv"), F.col("seq").alias("rseq"), *(c for c in schema.names if c not in ("segment", "seq", "number")))
 
 
-def pair_stream(entries: DataFrame) -> DataFrame:
+def pair_stream(entries: DataFrame, keys: tuple[str, ...] = ("file_no",)) -> DataFrame:
+    """``(seq, *keys, before, after)`` of after-images, as with_before() pairs them.
+
+    A task holds what a batch has of a key. ``keys`` with the row's number spread a table
+    over tasks, and pair interleaved updates of it.
+    """
     entries.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    images = entries.where("code IN ('R.UB', 'R.UP')").select("file_no", "seq", "code", "value", F.col("value").isNull().alias("absent"))
-    out = images.groupBy("file_no").transformWithStateInPandas(PairImages(), "seq long, file_no long, before double, no_before boolean, after double, no_after boolean", "Append", "None")
+    images = entries.where("code IN ('R.UB', 'R.UP')").select(*keys, "seq", "code", "value", F.col("value").isNull().alias("absent"))
+    schema = T.StructType().add("seq", "long")
+    for k in keys:
+        schema = schema.add(k, entries.schema[k].dataType)
+    for x in ("before", "after"):
+        schema = schema.add(x, "double").add(f"no_{x}", "boolean")
+    out = images.groupBy(*keys).transformWithStateInPandas(PairImages(keys), schema, "Append", "None")
     kept = lambda x: F.when(~F.col(f"no_{x}"), F.coalesce(F.col(x), F.lit(float("nan")))).alias(x)
-    return out.select("seq", "file_no", kept("before"), kept("after"))
+    return out.select("seq", *keys, kept("before"), kept("after"))
 
 
 def transaction_stream(entries: DataFrame, ttl_ms: int | None = None) -> DataFrame:
