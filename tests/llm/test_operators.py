@@ -272,6 +272,7 @@ def test_clauses():
     assert weight("a fine day") == 0 < weight("he said moron") < weight("moron")
     assert weight("not a moron") < weight("moron") < weight("you moron")
     assert weight("I will hurt you") > 0 == weight("it will hurt")
+    assert weight("you aren’t a moron") == weight("you aren't a moron") < weight("you moron")
 
 
 @pytest.mark.parametrize("words", [{"moron": 4.0}, {}])

@@ -41,7 +41,7 @@ STEM_SIZES = (4, 5, 6, 7)
 LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 4, 0.005, 2.5
 THREAT_WEIGHT, TARGET_BONUS, NEGATED, REPORTED, REACH = 0.5, 0.5, 0.25, 0.5, 3
 
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;:\n]")
+_TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]")
 
 
 @dataclass(frozen=True)
@@ -124,8 +124,13 @@ def clauses(symbols: Iterable[tuple[str, float]]) -> Iterator[tuple[float, int]]
             total, matched, addressed = 0.0, 0, False
 
 
+def lowered(text: str) -> str:
+    """In small letters, with one kind of apostrophe."""
+    return text.lower().replace("’", "'")
+
+
 def tokens(text: str) -> list[str]:
-    return _TOKEN.findall(text.lower())
+    return _TOKEN.findall(lowered(text))
 
 
 N_FEATURES = 5
@@ -134,7 +139,7 @@ ROWS = 500
 
 
 def features(text: str, lexicon: Lexicon, automaton: ahocorasick.Automaton) -> list[float]:
-    low = text.lower()
+    low = lowered(text)
     if next(automaton.iter(low), None) is None:
         return [0.0] * N_FEATURES
     found = list(clauses(map(lexicon.symbol, _TOKEN.findall(low))))
