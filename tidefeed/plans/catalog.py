@@ -224,18 +224,20 @@ _FIND = f"""SELECT start_id, end_rcv, end_seq FROM (
   FROM ({_values(_STARTS)}) s(start_id, rcv, seq) JOIN R ON R.rcv >= s.rcv AND R.first_seq <= s.seq + {{most}} WHERE s.rcv IN (SELECT rcv FROM R)) WHERE k = 1"""
 
 
-def _starts(spark, d):
-    return _rows(spark, "start_id int, rcv long, seq long", _STARTS).join(receivers(spark, d).select("rcv"), "rcv", "left_semi")
+def _starts(spark, r):
+    return _rows(spark, "start_id int, rcv long, seq long", _STARTS).join(r.select("rcv"), "rcv", "left_semi")
 
 
 @query(_FIND.format(most=1700))
 def find_range(spark, d):
-    return ranges.find_ranges(_starts(spark, d), receivers(spark, d), 1700).select("start_id", "end_rcv", "end_seq")
+    r = receivers(spark, d)
+    return ranges.find_ranges(_starts(spark, r), r, 1700).select("start_id", "end_rcv", "end_seq")
 
 
 @query(_FIND.format(most=300))
 def find_position(spark, d):
-    return ranges.find_ranges(_starts(spark, d), receivers(spark, d), 300).select("start_id", "end_rcv", "end_seq")
+    r = receivers(spark, d)
+    return ranges.find_ranges(_starts(spark, r), r, 300).select("start_id", "end_rcv", "end_seq")
 
 
 _RESTARTS = [(1, 0, 1, True), (2, 0, 700, True), (3, 0, 1000, True), (4, 0, 1000, False), (5, 2, 999, True), (6, 4, 1000, True), (7, 99, 5, True)]
