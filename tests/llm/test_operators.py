@@ -420,6 +420,65 @@ def test_similar_texts_against_every_pair(spark):
     assert len(kept) == len({root[i] for i in kept}) == len(set(root.values()))
 
 
+def around(rng, words, text, similarity=0.8):
+    """Two copies of a text with ever more words replaced: the last one that is similar, and the first that isn't."""
+    sets = lambda t: set(simhash.shingles(" ".join(t).encode(), 5).tolist())
+    own, now = sets(text), list(text)
+    while True:
+        after = list(now)
+        after[rng.randrange(len(after))] = rng.choice(words)
+        if len(own & sets(after)) < similarity * len(own | sets(after)):
+            return now, after
+        now = after
+
+
+def test_similar_texts_are_all_grouped(spark):
+    """Pairs just above and just below the threshold, alone and under passages that most texts quote, against every pair."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(5000)]
+    passages = [rng.choices(words, k=40) for _ in range(3)]
+    texts = []
+    for k in range(360):
+        text = rng.choices(words, k=rng.choice([9, 30, 60, 120, 250]))
+        for p in rng.sample(passages, k % 4):
+            at = rng.randrange(len(text))
+            text[at:at] = p
+        above, below = around(rng, words, text)
+        texts += [text, below if k % 3 == 0 else above]
+    for _ in range(30):  # texts near one another of which some pairs are similar, others not quite
+        text = rng.choices(words, k=150)
+        texts += [around(rng, words, text)[k % 2] for k in range(5)]
+    texts = [" ".join(t) for t in texts] + [None, "", "one two", "ONE  two"]
+    sets = [set(simhash.shingles((t or "").encode(), 5).tolist()) for t in texts]
+    share = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    ids = range(len(texts))
+    low = joined(ids, [(a, b) for a in ids for b in range(a) if share(sets[a], sets[b]) >= 0.8])
+    docs = spark.createDataFrame(list(enumerate(texts)), TEXT)
+    root = {r["doc_id"]: r["root"] for r in simhash.similar(docs).collect()}
+    first = {}
+    for i in ids:
+        first.setdefault(root[i], i)
+    assert {i: first[root[i]] for i in ids} == {i: low[i] for i in ids}
+
+
+@pytest.mark.parametrize("often", [False, True])
+def test_heads_miss_no_similar_sets(spark, often):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    texts = [rng.choices(words, k=n) for n in range(1, 90) for _ in range(2)]
+    texts = [" ".join(c) for t in texts for c in (t, *around(rng, words, t))]
+    sets = [set(simhash.shingles(t.encode(), 5).tolist()) for t in texts]
+    every = np.array(sorted(set().union(*sets)), np.uint64)
+    prints = simhash.long_fingerprints(spark.createDataFrame(list(enumerate(texts)), TEXT), frequent=np.random.default_rng(1).permutation(every)[:3000] if often else None)
+    node = {r["doc_id"]: r["node"] for r in prints.collect()}
+    met = {frozenset((r["u"], r["v"])) for r in simhash.head_pairs(prints.withColumn("root", F.col("node")), 0.8).collect()}
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                assert node[a] == node[b] or frozenset((node[a], node[b])) in met
+    assert len(met) < len(texts) ** 2 / 50
+
+
 @pytest.mark.parametrize("table", ["odd", "none"])
 def test_odd_rows(spark, table, request):
     docs = request.getfixturevalue(table)

@@ -221,6 +221,10 @@ LONG, BLOCKS = 4, 16
 BLOCK_BITS = 1
 #: Residents of an anchor above which they are dealt over several tasks.
 MOST_RESIDENTS = 20_000
+#: Texts that are looked at for frequent shingles, the least of them that hold one, and the most shingles taken for frequent. They order shingles, which no result depends on.
+LOOKED_AT, OFTEN, MOST_FREQUENT = 10_000, 3, 1 << 16
+#: Shingles that the heads of similar sets have in common at least, if the sets do.
+HEADS_SHARE = 3
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -243,9 +247,8 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     return np.fromiter((digest(line[a:b]) for a, b in zip([0, *ends[: n - 1].tolist()], stops, strict=True)), np.uint64, n)
 
 
-def long_fingerprint(text: bytes | None, words: int = 5) -> np.ndarray:
-    """LONG words of majority bits over the word shingles; zeros without words."""
-    every = shingles(text, words)
+def long_fingerprint(every: np.ndarray) -> np.ndarray:
+    """LONG words of majority bits over the hashes of word shingles, repeats included; zeros without any."""
     counts, n = np.zeros(64 * LONG, np.int64), len(every)
     for at in range(0, n, 16320):
         h = every[at : at + 16320]
@@ -284,18 +287,67 @@ def _names(fps: np.ndarray) -> np.ndarray:
 _LONG_DDL = ", ".join(f"f{k} long" for k in range(LONG))
 
 
-def long_fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
-    """``(doc_id, text_key, node, f0, f1, ...)`` of every row; ``text_key`` and ``node`` name the text and the fingerprint."""
+def frequent_shingles(docs: DataFrame, words: int, looked_at: int = LOOKED_AT) -> np.ndarray:
+    """Hashes of shingles that many of a sample of the texts hold, the rarest first."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
-            fps = np.array([long_fingerprint(t, words) for t in b.column(2).to_pylist()])
-            columns = [pa.array(fps[:, k].view(np.int64)) for k in range(LONG)]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(_names(fps)), *columns], names=["doc_id", "text_key", "node", *(f"f{k}" for k in range(LONG))])
+            every = [np.unique(shingles(t, words)) for t in b.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(np.concatenate(every).view(np.int64))], names=["h"])
+
+    one_in = max(1, docs.count() // looked_at)
+    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0).select(F.col("text").cast("binary").alias("text"))
+    held = some.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= OFTEN)
+    rows = held.orderBy(F.desc("count"), "h").limit(MOST_FREQUENT).collect()
+    return np.array([r["h"] for r in reversed(rows)], np.int64).view(np.uint64)
+
+
+def least_common(size: int, similarity: float) -> int:
+    """Shingles that a set of this size has at least in common with any so similar one."""
+    return math.ceil(similarity * size - 1e-9)
+
+
+def long_fingerprints(docs: DataFrame, words: int = 5, similarity: float = 0.8, frequent: np.ndarray | None = None) -> DataFrame:
+    """``(doc_id, text_key, node, print, n, head, f0, f1, ...)`` of every row.
+
+    ``text_key`` names the text and ``node`` its set of shingles, of which there are ``n``; ``print`` names the fingerprint. In one order of all shingles,
+    that of their hashes with the ``frequent`` ones last, the ``head`` holds a set's first ones, so many that of
+    those it must share with a similar set all but HEADS_SHARE - 1 can't lie in the rest. So the heads of two similar sets have
+    HEADS_SHARE shingles in common, or all common ones. It is null where the same task has given it before.
+    """
+    ship(docs.sparkSession)
+    rank = np.arange(0) if frequent is None else np.argsort(frequent)
+    known = np.empty(0, np.uint64) if frequent is None else frequent[rank]
+
+    def head_of(held: np.ndarray) -> np.ndarray:
+        n = len(held) - least_common(len(held), similarity) + HEADS_SHARE
+        if len(known):
+            at = np.minimum(np.searchsorted(known, held), len(known) - 1)
+            often = known[at] == held
+            held = np.concatenate([held[~often], held[often][np.argsort(rank[at[often]])]])
+        return held[:n]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
+        for b in sliced(batches):
+            fps, nodes, sizes, heads = [], [], [], []
+            for text in b.column(2).to_pylist():
+                every = shingles(text, words)
+                held = np.unique(every)
+                node = xxhash.xxh3_64_intdigest(held.tobytes())
+                fps.append(long_fingerprint(every))
+                nodes.append(_signed(node))
+                sizes.append(len(held))
+                heads.append(None if node in given else head_of(held).view(np.int64))
+                if len(given) < 1 << 16:
+                    given.add(node)
+            fps = np.array(fps)
+            columns = [b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(_names(fps)), pa.array(sizes, pa.int32()), pa.array(heads, pa.list_(pa.int64())), *(pa.array(fps[:, k].view(np.int64)) for k in range(LONG))]
+            yield pa.record_batch(columns, names=["doc_id", "text_key", "node", "print", "n", "head", *(f"f{k}" for k in range(LONG))])
 
     source = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
-    return source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, node long, {_LONG_DDL}")
+    return source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, node long, print long, n int, head array<long>, {_LONG_DDL}")
 
 
 def _long_to_anchors(fps: DataFrame, parts: dict[int, int], home_only: bool = False) -> DataFrame:
@@ -326,16 +378,17 @@ def _long_to_anchors(fps: DataFrame, parts: dict[int, int], home_only: bool = Fa
     return fps.select(*(f"f{k}" for k in range(LONG))).mapInArrow(run, f"place long, {_LONG_DDL}")
 
 
-def _long_forest(x: np.ndarray, resident: np.ndarray, sure: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Residents against all copies at one anchor, by names: (u, v, sure) of a forest of pairs within ``sure`` bits, and of one of those within ``most``.
+def _long_forest(x: np.ndarray, resident: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Residents against all copies at one anchor: a spanning forest ``(u, v, bits)``, by names, of pairs within ``most`` bits, nearer ones first.
 
-    Half of the bits settle most pairs.
+    Half of the bits settle most pairs. A pair left out here is lost to whoever finds a pair of the
+    forest not similar, so head_pairs() has to follow.
     """
     names = _names(x)
     order = np.argsort(names, kind="stable")
     x, names, own = x[order], names[order], np.flatnonzero(resident[order])
-    label, perhaps = np.arange(len(x)), np.arange(len(x))
-    out: list[tuple[np.ndarray, np.ndarray]] = []
+    label = np.arange(len(x))
+    out: list[tuple[np.ndarray, ...]] = [(names[:0], names[:0], label[:0])]
     step = max(1, (BLOCK >> 4) // len(x))
     for lo in range(0, len(own), step):
         part = own[lo : lo + step]
@@ -343,34 +396,30 @@ def _long_forest(x: np.ndarray, resident: np.ndarray, sure: int, most: int) -> t
         a, b = np.nonzero(half <= most)
         a = part[a]
         bits = np.bitwise_count(x[a] ^ x[b]).sum(1, dtype=np.int64)
-        near = (bits <= sure) & (a != b)
-        unite(label, a[near], b[near])
-        unite(perhaps, a[near], b[near])
-        near = (bits > sure) & (bits <= most)
-        a, b = a[near], b[near]
-        while len(a):  # of the pairs that join two classes one each, until none does
-            high, low = np.maximum(perhaps[a], perhaps[b]), np.minimum(perhaps[a], perhaps[b])
-            a, b, high = (v[high != low] for v in (a, b, high))
+        near = np.flatnonzero((bits <= most) & (a != b))
+        near = near[np.argsort(bits[near], kind="stable")]
+        a, b, bits = a[near], b[near], bits[near]
+        while len(a):  # of the pairs that join two classes the nearest one each, until none does
+            high, low = np.maximum(label[a], label[b]), np.minimum(label[a], label[b])
+            a, b, bits, high = (v[high != low] for v in (a, b, bits, high))
             _, first = np.unique(high, return_index=True)
-            out.append((names[a[first]], names[b[first]]))
-            unite(perhaps, a[first], b[first])
-    moved = label != np.arange(len(label))
-    u, v = (np.concatenate([c, *more]) for c, more in zip((names[moved], names[label[moved]]), zip(*out, strict=True) if out else ((), ()), strict=True))
-    return u, v, np.arange(len(u)) < moved.sum()
+            out.append((names[np.minimum(a, b)[first]], names[np.maximum(a, b)[first]], bits[first]))
+            unite(label, a[first], b[first])
+    return tuple(map(np.concatenate, zip(*out, strict=True)))
 
 
-def _long_compare(copies: DataFrame, sure: int, most: int) -> DataFrame:
-    """``(u, v, sure)`` between names of fingerprints from every anchor."""
+def _long_compare(copies: DataFrame, most: int) -> DataFrame:
+    """``(u, v, bits)`` between names of fingerprints from every anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for place, x in _by_anchor(batches):
             resident = place % 2 == 0
             if resident.any() and len(x) > 1:
-                found = _long_forest(x, resident, sure, most)
+                found = _long_forest(x, resident, most)
                 if len(found[0]):
-                    yield pa.record_batch(list(map(pa.array, found)), names=["u", "v", "sure"])
+                    yield pa.record_batch(list(map(pa.array, found)), names=["u", "v", "bits"])
 
-    return copies.repartition(F.expr("place div 2")).sortWithinPartitions("place").mapInArrow(run, "u long, v long, sure boolean")
+    return copies.repartition(F.expr("place div 2")).sortWithinPartitions("place").mapInArrow(run, "u long, v long, bits long")
 
 
 def _by_anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -391,8 +440,71 @@ def _by_anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
         yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
+def head_pairs(heads: DataFrame, similarity: float) -> DataFrame:
+    """``(u, v)``: of ``heads(node, root, n, head)`` all pairs of different roots that may be similar; none that is so is missing.
+
+    Similar sets have HEADS_SHARE shingles of their heads in common, or all those that they have to share. From each of these first ones on
+    enough must come for what they have to share, but for those before it. Frequent shingles come last, so few sets meet at one;
+    and where many meet, as in a group of near copies, most have one root and aren't paired.
+    """
+    wanted = similarity / (1 + similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, node, root, n, at in _by_token(batches):
+            order = np.lexsort((node, root, token))
+            token, node, root, n, at = (c[order] for c in (token, node, root, n, at))
+            new = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
+            token, node, root, n, at = (c[new] for c in (token, node, root, n, at))
+            own = np.flatnonzero(np.concatenate([(token[1:] != token[:-1]) | (root[1:] != root[:-1]), [True]])) + 1
+            run_of = np.flatnonzero(np.concatenate([token[1:] != token[:-1], [True]])) + 1
+            i = np.arange(len(token))
+            after, stop = own[np.searchsorted(own, i, side="right")], run_of[np.searchsorted(run_of, i, side="right")]
+            total = np.cumsum(stop - after)
+            lo = 0
+            while lo < len(i):
+                hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + (BLOCK >> 3), side="right")))
+                times = (stop - after)[lo:hi]
+                a = np.repeat(i[lo:hi], times)
+                b = np.arange(len(a)) - np.repeat(np.cumsum(times) - times, times) + after[a]
+                lo = hi
+                common = np.ceil(wanted * (n[a] + n[b]) - 1e-9).astype(np.int64)
+                may = np.minimum(n[a] - at[a], n[b] - at[b]) + HEADS_SHARE - 1 >= common
+                u, v, share = node[a[may]], node[b[may]], np.minimum(common[may], HEADS_SHARE)
+                if len(u):
+                    yield pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(share)], names=["u", "v", "share"])
+
+    tokens = heads.where("head IS NOT NULL").select("node", "root", "n", F.posexplode("head").alias("at", "token")).select("token", "node", "root", "n", "at")
+    met = tokens.repartition("token").sortWithinPartitions("token").mapInArrow(run, "u long, v long, share long")
+    return met.groupBy("u", "v", "share").count().where("count >= share").select("u", "v")
+
+
+def _by_token(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of rows in the order of their first, several values of it at a time and each as a whole; values with a single row are left out."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def several() -> Iterator[tuple[np.ndarray, ...]]:
+        columns = tuple(map(np.concatenate, zip(*held, strict=True)))
+        same = columns[0][1:] == columns[0][:-1]
+        more = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        if more.any():
+            yield tuple(c[more] for c in columns)
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        now = tuple(c.to_numpy(zero_copy_only=False) for c in b.columns)
+        last = int(np.searchsorted(now[0], now[0][-1]))
+        if last or held and held[-1][0][-1] != now[0][0]:
+            held.append(tuple(c[:last] for c in now))
+            yield from several()
+            held = []
+        held.append(tuple(c[last:] for c in now))
+    if held:
+        yield from several()
+
+
 def _verified(docs: DataFrame, prints: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Those of ``pairs(u, v)`` whose texts have so large a share of common shingles; one text stands for a fingerprint."""
+    """Those of ``pairs(u, v)`` of nodes whose texts have so large a share of common shingles."""
     asked = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "node")
     witness = prints.join(asked, "node").groupBy("node").agg(F.min("text_key").alias("text_key"))
 
@@ -405,35 +517,53 @@ def _verified(docs: DataFrame, prints: DataFrame, pairs: DataFrame, words: int,
     sets = cut(texts.select("node", "text").mapInArrow(run, "node long, hashes array<long>"), "shingles")
     both = pairs.join(sets.toDF("u", "of_u"), "u").join(sets.toDF("v", "of_v"), "v")
     common = F.size(F.array_intersect("of_u", "of_v"))
-    return both.where(common >= similarity * (F.size("of_u") + F.size("of_v") - common)).select("u", "v")
+    return cut(both.where(common >= similarity * (F.size("of_u") + F.size("of_v") - common) - 1e-9).select("u", "v"), "verified")
 
 
-def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8, most_residents: int = MOST_RESIDENTS) -> DataFrame:
-    """``(doc_id, text_key, node, root)`` for every row of ``docs(doc_id, text, ...)``: the group of similar texts it belongs to.
+def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """Those of ``pairs(u, v)`` that ``linked(node, root)`` hasn't joined."""
+    root = lambda c: linked.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    both = pairs.join(root("u"), "u", "left").join(root("v"), "v", "left")
+    return both.where("coalesce(root_u, u) != coalesce(root_v, v)").select("u", "v")
 
-    Fingerprints of 256 bits are compared if one of 16 blocks of 23 bits differs in
-    BLOCK_BITS or less. Texts whose fingerprints differ so little that texts of a lesser
-    ``similarity``, the share of common shingles, hardly do are linked; those that differ by up to
-    what texts of that similarity hardly exceed are linked if their shingles say so, a
-    spanning forest of such pairs being counted out at each anchor. Groups are what links connect,
-    and a root is one of a group's nodes. ``text_key`` is a hash of the text; null and empty
-    texts have the fingerprint zero, linked like any other. Equal texts have one node. Null
-    and equal ids are allowed; other columns are ignored; no rows, no rows.
-    """
-    prints = cut(long_fingerprints(docs, words), "long-fingerprints")
-    distinct = cut(prints.select(*(f"f{k}" for k in range(LONG))).distinct(), "distinct")
+
+def _near_pairs(prints: DataFrame, similarity: float, most_residents: int) -> DataFrame:
+    """``(u, v, bits)`` of nodes: spanning forests of those whose fingerprints are near, at each anchor, and of those with one fingerprint."""
+    distinct = cut(prints.groupBy("print", *(f"f{k}" for k in range(LONG))).agg(F.min("node").alias("first")), "distinct")
     home = _long_to_anchors(distinct, {}, home_only=True)
     # At most 16 * 4096 anchors, so at most as many rows.
     hot = home.groupBy(F.expr("place div 2").alias("at")).count().where(F.col("count") > most_residents).collect()
     parts = {r["at"]: -(-r["count"] // most_residents) for r in hot}
-    pairs = cut(_long_compare(_long_to_anchors(distinct, parts), *bits_apart(similarity)).distinct(), "pairs")
-    sure = pairs.where("sure").select("u", "v")
-    first = components(sure)
-    root = lambda c: first.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    open_pairs = pairs.where("NOT sure").join(root("u"), "u", "left").join(root("v"), "v", "left")
-    open_pairs = cut(open_pairs.where("coalesce(root_u, u) != coalesce(root_v, v)").select("u", "v"), "open-pairs")
-    linked = components(sure.union(_verified(docs, prints, open_pairs, words, similarity)))
-    return prints.select("doc_id", "text_key", "node").join(linked, "node", "left").select("doc_id", "text_key", "node", F.coalesce("root", "node").alias("root"))
+    near = _long_compare(_long_to_anchors(distinct, parts), bits_apart(similarity)[1]).distinct()
+    first = lambda c: distinct.select(F.col("print").alias(f"print_{c}"), F.col("first").alias(c))
+    near = near.toDF("print_u", "print_v", "bits").join(first("u"), "print_u").join(first("v"), "print_v").select("u", "v", "bits")
+    equal = prints.select("print", "node").distinct().join(distinct.select("print", "first"), "print").where("node != first")
+    return near.union(equal.select("first", "node", F.lit(0).cast("long")))
+
+
+def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8, most_residents: int = MOST_RESIDENTS) -> DataFrame:
+    """``(doc_id, text_key, node, root)`` for every row of ``docs(doc_id, text, ...)``: the group of similar texts it belongs to.
+
+    Texts are linked if ``similarity`` or more of their shingles of ``words`` words, each counted once, are common
+    to both. Most links are found by fingerprints of 256 bits, compared if one of 16 blocks of 23 bits
+    differs in BLOCK_BITS or less, and within what texts of that similarity hardly exceed; first those nearest to each text, then
+    those between groups. What they can't find is found by the heads of the sets of shingles, which loses
+    nothing. Each pair is held against its shingles before it links. Groups are what links connect, and a
+    root is the smallest of a group's nodes. ``text_key`` is a hash of the text and ``node`` one of its set of shingles; null
+    and empty texts have the empty set and are one group. Null
+    and equal ids are allowed; other columns are ignored; no rows, no rows.
+    """
+    prints = cut(long_fingerprints(docs, words, similarity, frequent_shingles(docs, words)), "long-fingerprints")
+    pairs = cut(_near_pairs(prints, similarity, most_residents), "pairs")
+    ends = pairs.select("u", F.struct("bits", "v").alias("to")).union(pairs.select("v", F.struct("bits", F.col("u").alias("v"))))
+    nearest = ends.groupBy("u").agg(F.min("to").alias("to")).select(F.least("u", "to.v").alias("u"), F.greatest("u", "to.v").alias("v")).distinct()
+    links = _verified(docs, prints, cut(nearest, "nearest"), words, similarity)
+    linked = cut(components(links), "linked")
+    links = links.union(_verified(docs, prints, cut(_apart(pairs, linked).distinct(), "open-pairs"), words, similarity))
+    linked = cut(components(links), "linked")
+    heads = prints.where("head IS NOT NULL").join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "head")
+    links = links.union(_verified(docs, prints, cut(head_pairs(heads, similarity), "head-pairs"), words, similarity))
+    return prints.select("doc_id", "text_key", "node").join(components(links), "node", "left").select("doc_id", "text_key", "node", F.coalesce("root", "node").alias("root"))
 
 
 def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
