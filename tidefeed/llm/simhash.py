@@ -521,10 +521,12 @@ def _verified(docs: DataFrame, prints: DataFrame, pairs: DataFrame, words: int,
 
 
 def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
-    """Those of ``pairs(u, v)`` that ``linked(node, root)`` hasn't joined."""
+    """Of ``pairs(u, v, bits)`` the nearest one for any two groups of ``linked(node, root)``."""
     root = lambda c: linked.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
     both = pairs.join(root("u"), "u", "left").join(root("v"), "v", "left")
-    return both.where("coalesce(root_u, u) != coalesce(root_v, v)").select("u", "v")
+    both = both.withColumns({"root_u": F.coalesce("root_u", "u"), "root_v": F.coalesce("root_v", "v")}).where("root_u != root_v")
+    nearest = both.groupBy(F.least("root_u", "root_v"), F.greatest("root_u", "root_v")).agg(F.min(F.struct("bits", "u", "v")).alias("x"))
+    return nearest.select("x.u", "x.v")
 
 
 def _near_pairs(prints: DataFrame, similarity: float, most_residents: int) -> DataFrame:
@@ -547,7 +549,7 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8, most_resid
     Texts are linked if ``similarity`` or more of their shingles of ``words`` words, each counted once, are common
     to both. Most links are found by fingerprints of 256 bits, compared if one of 16 blocks of 23 bits
     differs in BLOCK_BITS or less, and within what texts of that similarity hardly exceed; first those nearest to each text, then
-    those between groups. What they can't find is found by the heads of the sets of shingles, which loses
+    the nearest between any two groups. What they can't find is found by the heads of the sets of shingles, which loses
     nothing. Each pair is held against its shingles before it links. Groups are what links connect, and a
     root is the smallest of a group's nodes. ``text_key`` is a hash of the text and ``node`` one of its set of shingles; null
     and empty texts have the empty set and are one group. Null
@@ -559,7 +561,7 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8, most_resid
     nearest = ends.groupBy("u").agg(F.min("to").alias("to")).select(F.least("u", "to.v").alias("u"), F.greatest("u", "to.v").alias("v")).distinct()
     links = _verified(docs, prints, cut(nearest, "nearest"), words, similarity)
     linked = cut(components(links), "linked")
-    links = links.union(_verified(docs, prints, cut(_apart(pairs, linked).distinct(), "open-pairs"), words, similarity))
+    links = links.union(_verified(docs, prints, cut(_apart(pairs, linked), "open-pairs"), words, similarity))
     linked = cut(components(links), "linked")
     heads = prints.where("head IS NOT NULL").join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "head")
     links = links.union(_verified(docs, prints, cut(head_pairs(heads, similarity), "head-pairs"), words, similarity))
