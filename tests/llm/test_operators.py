@@ -479,6 +479,43 @@ def test_heads_miss_no_similar_sets(spark, often):
     assert len(met) < len(texts) ** 2 / 50
 
 
+def test_parities_never_differ_in_more_bits_than_sets():
+    rng = np.random.default_rng(14)
+    sets = []
+    for n in (0, 1, 7, 100, 127, 130, 900, 3000, 30_000):
+        one = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        sets += [np.unique(one), np.unique(np.concatenate([one[n // 9 :], rng.integers(0, 1 << 63, n // 11 + 1).astype(np.uint64)]))]
+    odd = [simhash.parities(s) for s in sets]
+    assert {len(p) for p in odd} == {32, 64, 256, 512}
+    a, b = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    apart = simhash.parities_apart(odd, a, b)
+    differ = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in zip(a, b, strict=True)])
+    assert (apart <= differ).all() and ((apart - differ) % 2 == 0).all()
+    assert (apart[a == b] == 0).all() and (apart[(a != b) & (differ < 300)] > 0).all()
+
+
+@pytest.mark.parametrize("most", [256, 7])
+def test_near_sets_that_are_not_similar_are_not_paired(spark, most):
+    """A group of texts near one another, of which few pairs are similar: the pairs must not be those of the group."""
+    rng = random.Random(15)
+    words = [f"w{i}" for i in range(5000)]
+    text, texts = rng.choices(words, k=300), []
+    for _ in range(60):
+        copy = list(text)
+        for at in rng.sample(range(300), 20):
+            copy[at] = rng.choice(words)
+        texts.append(copy)
+    texts += [around(rng, words, t)[0] for t in texts[:20]]
+    texts = [" ".join(t) for t in texts]
+    sets = [set(simhash.shingles(t.encode(), 5).tolist()) for t in texts]
+    prints = simhash.long_fingerprints(spark.createDataFrame(list(enumerate(texts)), TEXT))
+    node = {r["doc_id"]: r["node"] for r in prints.collect()}
+    met = [frozenset((r["u"], r["v"])) for r in simhash.head_pairs(prints.withColumn("root", F.col("node")), 0.8, most).collect()]
+    similar = {frozenset((node[a], node[b])) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(met) == len(set(met)) and similar <= set(met) and len(similar) >= 20
+    assert len(met) <= len(similar) + len(texts) ** 2 / 50
+
+
 @pytest.mark.parametrize("table", ["odd", "none"])
 def test_odd_rows(spark, table, request):
     docs = request.getfixturevalue(table)

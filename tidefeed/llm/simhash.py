@@ -225,6 +225,10 @@ MOST_RESIDENTS = 20_000
 LOOKED_AT, OFTEN, MOST_FREQUENT = 10_000, 3, 1 << 16
 #: Shingles that the heads of similar sets have in common at least, if the sets do.
 HEADS_SHARE = 3
+#: Bits of a set's parities, at least and at most: in bytes, powers of two.
+PARITY_BYTES = 32, 512
+#: Sets that meet at a shingle above which their pairs are dealt over several tasks.
+MOST_MEETING = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -308,13 +312,39 @@ def least_common(size: int, similarity: float) -> int:
     return math.ceil(similarity * size - 1e-9)
 
 
+def parities(held: np.ndarray) -> bytes:
+    """For each of so many buckets of hashes, if an odd number of the set's are in it; 2 to 4 buckets for each, within PARITY_BYTES.
+
+    A hash that only one of two sets holds changes one bit, so in no more bits than in hashes do sets differ.
+    """
+    least, most = PARITY_BYTES
+    bits = 8 * min(most, max(least, 1 << (len(held) // 4).bit_length()))
+    counts = np.bincount((held & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def parities_apart(x: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which the parities of ``x[a[i]]`` and ``x[b[i]]`` differ, the longer ones folded to the length of the others."""
+    size = np.array([len(p) for p in x])
+    out = np.zeros(len(a), np.int64)
+    for width in np.unique(np.minimum(size[a], size[b])).tolist():
+        at = np.flatnonzero(np.minimum(size[a], size[b]) == width)
+        used = np.unique(np.concatenate([a[at], b[at]]))
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(x[k], np.uint64).reshape(-1, width // 8), axis=0) for k in used.tolist()])
+        for lo in range(0, len(at), 1 << 14):
+            some = at[lo : lo + (1 << 14)]
+            i, j = np.searchsorted(used, a[some]), np.searchsorted(used, b[some])
+            out[some] = np.bitwise_count(folded[i] ^ folded[j]).sum(1, dtype=np.int64)
+    return out
+
+
 def long_fingerprints(docs: DataFrame, words: int = 5, similarity: float = 0.8, frequent: np.ndarray | None = None) -> DataFrame:
-    """``(doc_id, text_key, node, print, n, head, f0, f1, ...)`` of every row.
+    """``(doc_id, text_key, node, print, n, head, parity, f0, f1, ...)`` of every row.
 
     ``text_key`` names the text and ``node`` its set of shingles, of which there are ``n``; ``print`` names the fingerprint. In one order of all shingles,
     that of their hashes with the ``frequent`` ones last, the ``head`` holds a set's first ones, so many that of
     those it must share with a similar set all but HEADS_SHARE - 1 can't lie in the rest. So the heads of two similar sets have
-    HEADS_SHARE shingles in common, or all common ones. It is null where the same task has given it before.
+    HEADS_SHARE shingles in common, or all common ones. ``parity`` has the set's parities(). Both are null where the same task has given them before.
     """
     ship(docs.sparkSession)
     rank = np.arange(0) if frequent is None else np.argsort(frequent)
@@ -331,7 +361,7 @@ def long_fingerprints(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
         for b in sliced(batches):
-            fps, nodes, sizes, heads = [], [], [], []
+            fps, nodes, sizes, heads, odd = [], [], [], [], []
             for text in b.column(2).to_pylist():
                 every = shingles(text, words)
                 held = np.unique(every)
@@ -340,14 +370,15 @@ def long_fingerprints(docs: DataFrame, words: int = 5, similarity: float = 0.8,
                 nodes.append(_signed(node))
                 sizes.append(len(held))
                 heads.append(None if node in given else head_of(held).view(np.int64))
+                odd.append(None if node in given else parities(held))
                 if len(given) < 1 << 16:
                     given.add(node)
             fps = np.array(fps)
-            columns = [b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(_names(fps)), pa.array(sizes, pa.int32()), pa.array(heads, pa.list_(pa.int64())), *(pa.array(fps[:, k].view(np.int64)) for k in range(LONG))]
-            yield pa.record_batch(columns, names=["doc_id", "text_key", "node", "print", "n", "head", *(f"f{k}" for k in range(LONG))])
+            columns = [b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(_names(fps)), pa.array(sizes, pa.int32()), pa.array(heads, pa.list_(pa.int64())), pa.array(odd, pa.binary()), *(pa.array(fps[:, k].view(np.int64)) for k in range(LONG))]
+            yield pa.record_batch(columns, names=["doc_id", "text_key", "node", "print", "n", "head", "parity", *(f"f{k}" for k in range(LONG))])
 
     source = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
-    return source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, node long, print long, n int, head array<long>, {_LONG_DDL}")
+    return source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, node long, print long, n int, head array<long>, parity binary, {_LONG_DDL}")
 
 
 def _long_to_anchors(fps: DataFrame, parts: dict[int, int], home_only: bool = False) -> DataFrame:
@@ -440,42 +471,81 @@ def _by_anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
         yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
-def head_pairs(heads: DataFrame, similarity: float) -> DataFrame:
-    """``(u, v)``: of ``heads(node, root, n, head)`` all pairs of different roots that may be similar; none that is so is missing.
+def head_pairs(heads: DataFrame, similarity: float, most_meeting: int = MOST_MEETING) -> DataFrame:
+    """``(u, v)``: of ``heads(node, root, n, head, parity)`` all pairs of different roots that may be similar; none that is so is missing.
 
     Similar sets have HEADS_SHARE shingles of their heads in common, or all those that they have to share. From each of these first ones on
     enough must come for what they have to share, but for those before it. Frequent shingles come last, so few sets meet at one;
-    and where many meet, as in a group of near copies, most have one root and aren't paired.
+    and where many meet, as in a group of near copies, most have one root and aren't paired. Sets that are
+    near, but not similar, would meet at each of their common shingles: so the few sets that meet another one get their parities, and pairs
+    that differ in more bits of these than similar sets can in shingles are left out. Over ``most_meeting`` sets at a shingle are
+    divided into blocks, and each two blocks are paired in a cell of their own.
     """
     wanted = similarity / (1 + similarity)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, node, root, n, at in _by_token(batches):
-            order = np.lexsort((node, root, token))
-            token, node, root, n, at = (c[order] for c in (token, node, root, n, at))
-            new = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
-            token, node, root, n, at = (c[new] for c in (token, node, root, n, at))
-            own = np.flatnonzero(np.concatenate([(token[1:] != token[:-1]) | (root[1:] != root[:-1]), [True]])) + 1
-            run_of = np.flatnonzero(np.concatenate([token[1:] != token[:-1], [True]])) + 1
-            i = np.arange(len(token))
-            after, stop = own[np.searchsorted(own, i, side="right")], run_of[np.searchsorted(run_of, i, side="right")]
-            total = np.cumsum(stop - after)
-            lo = 0
-            while lo < len(i):
-                hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + (BLOCK >> 3), side="right")))
-                times = (stop - after)[lo:hi]
-                a = np.repeat(i[lo:hi], times)
-                b = np.arange(len(a)) - np.repeat(np.cumsum(times) - times, times) + after[a]
-                lo = hi
-                common = np.ceil(wanted * (n[a] + n[b]) - 1e-9).astype(np.int64)
-                may = np.minimum(n[a] - at[a], n[b] - at[b]) + HEADS_SHARE - 1 >= common
-                u, v, share = node[a[may]], node[b[may]], np.minimum(common[may], HEADS_SHARE)
+    def common(n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.ceil(wanted * (n[a] + n[b]) - 1e-9).astype(np.int64)
+
+    def meetings(token: np.ndarray, root: np.ndarray, n: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows that may be similar, of rows in the order of token and root."""
+        own = np.flatnonzero(np.concatenate([(token[1:] != token[:-1]) | (root[1:] != root[:-1]), [True]])) + 1
+        run_of = np.flatnonzero(np.concatenate([token[1:] != token[:-1], [True]])) + 1
+        i = np.arange(len(token))
+        after, stop = own[np.searchsorted(own, i, side="right")], run_of[np.searchsorted(run_of, i, side="right")]
+        total = np.cumsum(stop - after)
+        lo = 0
+        while lo < len(i):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + (BLOCK >> 3), side="right")))
+            times = (stop - after)[lo:hi]
+            a = np.repeat(i[lo:hi], times)
+            b = np.arange(len(a)) - np.repeat(np.cumsum(times) - times, times) + after[a]
+            lo = hi
+            may = np.minimum(n[a] - at[a], n[b] - at[b]) + HEADS_SHARE - 1 >= common(n, a, b)
+            yield a[may], b[may]
+
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_token(batches):
+            order = np.lexsort((rows[1], rows[2], rows[0]))
+            rows = tuple(c[order] for c in rows)
+            new = np.concatenate([[True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])])
+            token, node, root, n, at = (c[new] for c in rows)
+            meets = np.zeros(len(token), bool)
+            for a, b in meetings(token, root, n, at):
+                meets[a] = meets[b] = True
+            if not meets.any():
+                continue
+            token, node, root, n, at = (c[meets] for c in (token, node, root, n, at))
+            first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            size = np.diff(np.concatenate([first, [len(token)]]))
+            blocks = np.repeat(-(-size // most_meeting), size)
+            block = (np.arange(len(token)) - np.repeat(first, size)) * blocks // np.repeat(size, size)
+            row = np.repeat(np.arange(len(token)), blocks)
+            other = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+            low, high = np.minimum(block[row], other), np.maximum(block[row], other)
+            cell = _spread(token[row].view(np.uint64) ^ _spread((low << 32 | high).astype(np.uint64) + _STEP)).view(np.int64)
+            side = np.where(low == high, -1, block[row]).astype(np.int32)
+            yield pa.record_batch(list(map(pa.array, (cell, node[row], root[row], n[row], at[row], side))), names=["cell", "node", "root", "n", "at", "side"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_token(batches):
+            order = np.lexsort((rows[1], rows[2], rows[0]))
+            cell, node, root, n, at, side, parity = (c[order] for c in rows)
+            for a, b in meetings(cell, root, n, at):
+                here = (side[a] < 0) | (side[a] != side[b])
+                a, b = a[here], b[here]
+                must = common(n, a, b)
+                near = parities_apart(parity, a, b) <= n[a] + n[b] - 2 * must
+                u, v, share = node[a[near]], node[b[near]], np.minimum(must[near], HEADS_SHARE)
                 if len(u):
                     yield pa.record_batch([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(share)], names=["u", "v", "share"])
 
-    tokens = heads.where("head IS NOT NULL").select("node", "root", "n", F.posexplode("head").alias("at", "token")).select("token", "node", "root", "n", "at")
-    met = tokens.repartition("token").sortWithinPartitions("token").mapInArrow(run, "u long, v long, share long")
-    return met.groupBy("u", "v", "share").count().where("count >= share").select("u", "v")
+    given = heads.where("head IS NOT NULL")
+    tokens = given.select("node", "root", "n", F.posexplode("head").alias("at", "token")).select("token", "node", "root", "n", "at")
+    met = tokens.repartition("token").sortWithinPartitions("token").mapInArrow(meeting, "cell long, node long, root long, n int, at int, side int")
+    odd = given.select("node", "parity").dropDuplicates(["node"])
+    both = met.join(odd, "node").select("cell", "node", "root", "n", "at", "side", "parity")
+    found = both.repartition("cell").sortWithinPartitions("cell").mapInArrow(pairs, "u long, v long, share long")
+    return found.groupBy("u", "v", "share").count().where("count >= share").select("u", "v")
 
 
 def _by_token(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -563,7 +633,7 @@ def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8, most_resid
     linked = cut(components(links), "linked")
     links = links.union(_verified(docs, prints, cut(_apart(pairs, linked), "open-pairs"), words, similarity))
     linked = cut(components(links), "linked")
-    heads = prints.where("head IS NOT NULL").join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "head")
+    heads = prints.where("head IS NOT NULL").join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "head", "parity")
     links = links.union(_verified(docs, prints, cut(head_pairs(heads, similarity), "head-pairs"), words, similarity))
     return prints.select("doc_id", "text_key", "node").join(components(links), "node", "left").select("doc_id", "text_key", "node", F.coalesce("root", "node").alias("root"))
 
